@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from spindle.llm import bpe, packing, token_counts
+from spindle.llm import bpe, media, packing, quality, simhash, token_counts, toxicity
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -28,8 +29,28 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, distance=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.predictions(docs, labels, folds=3, held_out=1, threshold=0.7)
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.predictions(docs, labels, folds=5, held_out=0, threshold=0.3)
+
+
+def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.stored_and_read(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing, "op2_bpe": op2_bpe, "op4_token_counts": op4_token_counts}
+    return {"op1_packing": op1_packing, "op2_bpe": op2_bpe, "op4_token_counts": op4_token_counts,
+        "op5_simhash": op5_simhash, "op7_toxicity": op7_toxicity, "op8_quality": op8_quality, "op9_media": op9_media}
 
 
 def oracle_sql() -> dict[str, str]:
