@@ -190,6 +190,19 @@ def scored(docs: DataFrame, net: QualityNet, column: str = "score", text_col: st
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
 
 
+def kept(docs: DataFrame, model: QualityNet, threshold: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose whole text scores at least ``threshold``, all columns unchanged."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        own = shared.value
+        for batch in batches:
+            yield batch.filter(pa.array([own.score(t) >= threshold for t in text_column(batch, at)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def predictions(
     docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, threshold: float = 0.3, most: int = 700
 ) -> DataFrame:

@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindle.llm import bpe, media, packing, quality, simhash, token_counts, toxicity
+from spindle.llm import bpe, licenses, media, packing, pii, quality, simhash, token_counts, topk, toxicity
 
+#: Stands for a key that a deployment keeps secret.
+PSEUDONYM_KEY = b"example key, to be replaced"
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -25,6 +27,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -34,6 +40,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), k=20, every=20, scale=64)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return toxicity.predictions(docs, labels, folds=3, held_out=1, threshold=0.7)
@@ -48,9 +58,22 @@ def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.stored_and_read(table(spark, sf_dir, "documents"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymized(docs, PSEUDONYM_KEY, counts=True)
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing, "op2_bpe": op2_bpe, "op4_token_counts": op4_token_counts,
-        "op5_simhash": op5_simhash, "op7_toxicity": op7_toxicity, "op8_quality": op8_quality, "op9_media": op9_media}
+    return {"op1_packing": op1_packing, "op2_bpe": op2_bpe, "op3_licenses": op3_licenses,
+        "op4_token_counts": op4_token_counts,
+        "op5_simhash": op5_simhash, "op6_topk": op6_topk, "op7_toxicity": op7_toxicity, "op8_quality": op8_quality, "op9_media": op9_media,
+        "op10_pii": op10_pii, "pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:

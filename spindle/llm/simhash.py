@@ -192,3 +192,15 @@ def near_duplicates(
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = rooted.join(named, "root").select("fp", "component_id")
     return own.join(by_fp, "fp").select(id_col, "fp", "component_id")
+
+
+def deduplicated(
+    docs: DataFrame, words: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row of each near-duplicate component, all columns unchanged: the row with the
+    component's smallest id; of rows that repeat it, one stays.  Rows with a null id
+    name no component and stay."""
+    found = near_duplicates(docs, words, distance, id_col, text_col).select(F.col(id_col).alias("_own"), "component_id")
+    first = found.where("_own = component_id").select("_own").distinct()
+    left = docs.where(F.col(id_col).isNotNull()).join(first, docs[id_col] == first["_own"], "left_semi")
+    return left.dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))
