@@ -271,6 +271,28 @@ def test_near_duplicates(docs, none):
     assert simhash.near_duplicates(none).count() == simhash.deduplicated(none).count() == 0
 
 
+@pytest.mark.parametrize("most", [20_000, 6])
+def test_similar_texts(spark, most, monkeypatch):
+    monkeypatch.setattr(simhash, "MOST", most)
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    texts, group = [], []
+    for g in range(12):
+        base = [word() for _ in range(300)]
+        for _ in range(15 if g < 2 else 3):
+            own = list(base)
+            for _ in range(2):  # each changed word changes five of about 300 shingles
+                own[rng.randrange(300)] = word()
+            texts.append(" ".join(own))
+            group.append(g)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    single = simhash.sketches(df, 3, 5, "doc_id", "text")
+    links = simhash.similar_links(single, simhash.most_bits(0.8), most).collect()
+    assert all(group[r["a"]] == group[r["b"]] for r in links)
+    assert roots_of([(r["a"], r["b"]) for r in links], range(len(texts))) == {i: group.index(g) for i, g in enumerate(group)}
+    assert sorted(r["doc_id"] for r in simhash.deduplicated(df).collect()) == sorted({group.index(g) for g in group})
+
+
 # --- 6: top-k
 
 
