@@ -3,11 +3,12 @@
 import itertools
 import re
 
+import duckdb
 import pytest
 
 import corpus_pipeline
 from spindle.llm import pii, quality, simhash, toxicity
-from spindle.llm.queries import PSEUDONYM_KEY, queries
+from spindle.llm.queries import PSEUDONYM_KEY, oracle_sql, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -63,3 +64,17 @@ def test_personal_data_goes(spark, docs):
 def test_registered_names():
     names = set(queries())
     assert {f"op{n}_" for n in range(1, 11)} == {re.match(r"op\d+_", n)[0] for n in names if n != "pipeline"} and "pipeline" in names
+
+
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
+def test_sql_says_the_same(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    df = queries()[name](spark, SF)
+    columns = sorted(df.columns)
+    out = con.sql(oracle_sql()[name])
+    assert sorted(out.columns) == columns
+    at = [out.columns.index(c) for c in columns]
+    want = sorted((tuple(r[i] for i in at) for r in out.fetchall()), key=repr)
+    assert sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr) == want and want
