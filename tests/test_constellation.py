@@ -360,3 +360,40 @@ def test_stream(spark, tmp_path):
     incremental.merge_into(stream(), str(tmp_path / "dim"), "k", str(tmp_path / "cp2")).awaitTermination(60)
     got = {r.k: r.v for r in spark.read.parquet(str(tmp_path / "dim/v0")).collect()}
     assert got[1] == "a" and got[3] == "d" and got[2] in ("b", "c")
+
+
+def test_description(spark, tmp_path):
+    from spindle.plans import describe
+
+    export(tmp_path / "visits.csv")
+    (tmp_path / "codes.csv").write_text("code,label\n1,a\n2,b\n")
+    (tmp_path / "protocol.txt").write_text(" ".join(["word"] * 600 + ["cohort"] + ["word"] * 1200 + ["primary objective"] + ["word"] * 400))
+    out = describe.describe(spark, tmp_path, "round1", {"study.main_question": "why"}, ("codes.csv",), ("protocol.txt",))
+    assert [f["file"] for f in out["dataset"]["files"]] == ["visits.csv"] and (tmp_path / "visits_eda.yaml").exists()
+    assert out["codes_and_vocabularies"] == [{"file": "codes.csv", "entries": 2}]
+    assert out["documents"][0]["pages"] == 5 and out["documents"][0]["concept_pages"]["study.study_type"] == [2]
+    assert out["documents"][0]["concept_pages"]["study.main_question"] == [4]
+    assert "study.main_question" not in describe.empty_fields(out) and "study.description" in describe.empty_fields(out)
+    with pytest.raises(ValueError, match="outside"):
+        describe.inside(tmp_path, "../x")
+
+
+def test_command_line(spark, tmp_path, capsys):
+    import json
+
+    from spindle.__main__ import main
+
+    (tmp_path / "crosswalks").mkdir()
+    (tmp_path / "crosswalks" / "wards.yaml").write_text("entries:\n- {value: Pediatric, maps_to: Children}\n- {value: ward 4b, maps_to: Surgery}\n")
+    Registry(tmp_path).save(parse(spec()))
+    call = lambda *a: (main([str(x) for x in a]), json.loads(capsys.readouterr().out))
+    assert call("schemas", tmp_path)[1][0]["schema_id"] == "lab"
+    assert call("validate", tmp_path / "lab.yaml")[1]["valid"]
+    data = export(tmp_path / "site.csv")
+    code, out = call("load", tmp_path, "lab", data, tmp_path / "h", "--source", "s1")
+    assert code == 0 and out["ok"]
+    assert call("query", tmp_path / "h", "select count(*) as n from fact_results")[1] == [{"n": 4}]
+    assert call("check", tmp_path, "lab", "s1", tmp_path / "h")[1]["ok"]
+    assert call("eda", data, tmp_path / "h" / "eda.yaml")[1]["rows"] == 5
+    assert call("match", tmp_path, "--eda", tmp_path / "h" / "eda.yaml")[1]["best"] == "lab"
+    assert call("extend", tmp_path, "lab", tmp_path / "lab.yaml")[0] == 1
