@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from spindle.llm import packing, pii, quality, simhash, toxicity
 from spindle.llm._common import materialize
-from spindle.llm.queries import PSEUDONYM_KEY, TOKENIZER, table
+from spindle.llm.queries import PSEUDONYM_KEY, TOKENIZER, documents, table
 
 TOXIC, GOOD = 0.7, 0.3
 
@@ -58,7 +58,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

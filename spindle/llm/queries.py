@@ -19,12 +19,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, dealt to all cores where their files give fewer partitions."""
+    docs, cores = table(spark, sf_dir, "documents"), spark.sparkContext.defaultParallelism
+    few = docs._jdf.queryExecution().toRdd().getNumPartitions() < cores
+    return docs.repartition(cores) if few else docs
+
+
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, size=2048, end_id=1)
+    return packing.pack(documents(spark, sf_dir), TOKENIZER, size=2048, end_id=1)
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.round_trip(table(spark, sf_dir, "documents"), TOKENIZER)
+    return bpe.round_trip(documents(spark, sf_dir), TOKENIZER)
 
 
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,11 +39,11 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.token_counts(table(spark, sf_dir, "documents"), TOKENIZER)
+    return token_counts.token_counts(documents(spark, sf_dir), TOKENIZER)
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, distance=3)
+    found = simhash.near_duplicates(documents(spark, sf_dir), words=3, distance=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -45,21 +52,21 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels")
     return toxicity.predictions(docs, labels, folds=3, held_out=1, threshold=0.7)
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels")
     return quality.predictions(docs, labels, folds=5, held_out=0, threshold=0.3)
 
 
 def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.stored_and_read(table(spark, sf_dir, "documents"))
+    return media.stored_and_read(documents(spark, sf_dir))
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     return pii.pseudonymized(docs, PSEUDONYM_KEY, counts=True)
 
 
