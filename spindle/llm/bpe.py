@@ -217,7 +217,7 @@ class ByteBPE:
 class LibraryBPE(ByteBPE):
     """The same vocabulary and cache, with the words merged by a library."""
 
-    def __init__(self, raw: bytes, cache_words: int = 500_000):
+    def __init__(self, raw: bytes, cache_words: int = 300_000):
         super().__init__(raw, cache_words)
         self.piece = tiktoken.Encoding("words", pat_str=r".+", mergeable_ranks=self.id_of, special_tokens={})
 

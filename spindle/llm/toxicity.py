@@ -140,7 +140,7 @@ def counterfactuals(texts: list[str], most: int = 400) -> list[dict[str, float]]
 class ToxicityModel:
     weights: dict[str, float]
     bias: float
-    cache_words: int = 400_000
+    cache_words: int = 200_000
     cache: dict[str, float] = field(default_factory=dict, repr=False)
 
     def word(self, w: str) -> float:
