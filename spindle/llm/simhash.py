@@ -187,11 +187,11 @@ def near_duplicates(
     are linked like others; repeated rows keep one result row each."""
     own = materialize(fingerprints(docs, words, id_col, text_col), "fingerprints")
     least = own.groupBy("fp").agg(F.min(id_col).alias("least"))
-    found = components(near_links(own, distance))
-    rooted = least.join(found.withColumnRenamed("node", "fp"), "fp", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "fp"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = rooted.join(named, "root").select("fp", "component_id")
+    linked = least.join(components(near_links(own, distance)).withColumnRenamed("node", "fp"), "fp")
+    # Names are written first, so that a join with one very large component can be split.
+    named = materialize(linked.groupBy("root").agg(F.min("least").alias("component_id")), "names")
+    renamed = linked.join(named, "root").select("fp", "component_id")
+    by_fp = least.join(renamed, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
     return own.join(by_fp, "fp").select(id_col, "fp", "component_id")
 
 
