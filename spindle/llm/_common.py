@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +23,15 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers find this package where the driver found it (a local session
+    started elsewhere); a cluster ships it with --py-files."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: the lineage is cut, and
     a lost executor costs no recomputation.  The table goes when the session ends."""
