@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from spindle.llm._common import materialize, text_column
 from spindle.llm.components import components
+from spindle.llm.similar import node, shingles, similar_components
 
 BLOCKS = 6
 MOST = 20_000
@@ -353,6 +354,20 @@ def _code_links(key: np.ndarray, ids: np.ndarray, code: np.ndarray, bits: int) -
     return links
 
 
+def named(docs: DataFrame, words: int, similar_words: int, id_col: str, text_col: str) -> DataFrame:
+    """``id, fp, node`` of every whole text; texts with one set of shingles are one node."""
+
+    def run(batches):
+        for batch in batches:
+            texts = text_column(batch, 1)
+            fps = pa.array([fingerprint(t, words) for t in texts], pa.int64())
+            nodes = pa.array([node(shingles(t, similar_words)) for t in texts], pa.int64())
+            yield pa.record_batch([batch.column(0), fps, nodes], names=["id", "fp", "node"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, fp long, node long")
+
+
 def deduplicated(
     docs: DataFrame, words: int = 3, distance: int = 3, similar_words: int = 5, similarity: float = 0.8,
     id_col: str = "doc_id", text_col: str = "text",
@@ -364,16 +379,18 @@ def deduplicated(
     Groups are the components of :func:`near_duplicates`; of these, the ones whose
     representatives have similar texts (``similarity`` of shingles of ``similar_words``
     words) are joined.  Ids are whole numbers."""
-    own = materialize(sketches(docs, words, similar_words, id_col, text_col), "sketches")
+    own = materialize(named(docs, words, similar_words, id_col, text_col), "named")
     known = own.where("id is not null")
     least = known.groupBy("fp").agg(F.min("id").alias("least"))
-    found = components(near_links(known, distance))
-    rooted = least.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    linked = components(near_links(known, distance))
+    rooted = least.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     first = rooted.groupBy("root").agg(F.min("least").alias("id")).select("id")
-    held = known.join(first, "id", "left_semi").dropDuplicates(["id"])
-    single = materialize(held.groupBy("code").agg(F.min("id").alias("id"), F.first("word").alias("word")), "codes")
-    similar = components(similar_links(single, most_bits(similarity)))
-    kept = materialize(single.select("id").join(similar.where("node <> root").select(F.col("node").alias("id")), "id", "left_anti"), "kept")
+    held = materialize(known.join(first, "id", "left_semi").dropDuplicates(["id"]), "held")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(held.select("id"), "id", "left_semi")
+    none = held.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    found = similar_components(texts, held, none, similar_words, similarity, MOST)
+    least = held.groupBy("node").agg(F.min("id").alias("id")).join(found, "node", "left")
+    kept = materialize(least.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("id").alias("id")).select("id").distinct(), "kept")
     dropped = known.select("id").distinct().join(kept, "id", "left_anti").select(F.col("id").alias("_dropped"))
     left = docs.join(dropped, docs[id_col] == dropped["_dropped"], "left_anti")
     if not known.groupBy("id").count().where("count > 1").isEmpty():

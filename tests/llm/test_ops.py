@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from spindle.llm import bpe, flac, licenses, media, packing, pii, quality, simhash, token_counts, topk, toxicity
+from spindle.llm import bpe, flac, licenses, media, packing, pii, quality, similar, simhash, token_counts, topk, toxicity
 from spindle.llm.components import components
 from spindle.llm.pretokens import tokens_of
 
@@ -293,6 +293,36 @@ def test_similar_texts(spark, most, monkeypatch):
     assert sorted(r["doc_id"] for r in simhash.deduplicated(df).collect()) == sorted({group.index(g) for g in group})
 
 
+def five_word_similarity(a, b):
+    a, b = ({tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def edited(rng, shape, size, share):
+    """A text, and it with one passage replaced or with words appended."""
+    word = lambda: f"w{int(rng.paretovariate(0.4)) % 20_000}"
+    base, new = [word() for _ in range(size)], [word() for _ in range(int(size * share))]
+    at = rng.randrange(size - len(new))
+    other = base + new if shape == "append" else base[:at] + new + base[at + len(new) :]
+    return " ".join(base), " ".join(other)
+
+
+@pytest.mark.parametrize("shape, share", [("block", 0.05), ("append", 0.12)])
+def test_similar_texts_whatever_the_edit(spark, shape, share):
+    rng = random.Random(9)
+    texts = [t for _ in range(30) for t in edited(rng, shape, 400, share)]
+    assert all(0.85 < five_word_similarity(a, b) for a, b in zip(texts[::2], texts[1::2]))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    own = simhash.named(df, 3, 5, "doc_id", "text")
+    nodes = {r["id"]: r["node"] for r in own.collect()}
+    keys = {}
+    for r in similar.keyed(df.withColumnRenamed("doc_id", "id"), 5, 0.8).collect():
+        keys.setdefault(r["node"], set()).add(r["key"])
+    assert all(keys[nodes[i]] & keys[nodes[i + 1]] for i in range(0, len(texts), 2))
+    left = {r["doc_id"] for r in simhash.deduplicated(df).collect()}
+    assert len(left) <= 30 + 3  # far more stayed when keys were blocks of a SimHash of the words
+
+
 # --- 6: top-k
 
 
