@@ -3,8 +3,8 @@
 Of two sets with a Jaccard similarity of at least t, each holds at least ``ceil(t * n)`` of
 the other's members, ``n`` its own size.  In any order of all shingles, then, the first
 ``n - ceil(t * n) + 1`` shingles of the one and of the other have one in common, whatever
-the shape of the edits.  These are the keys; candidates are
-decided by the distance of 512-bit SimHashes.  Shingles that a sample of the texts finds common come last in the
+the shape of the edits.  These are the keys; every candidate is verified by the true overlap
+of the whole texts.  Shingles that a sample of the texts finds common come last in the
 order, which keeps groups small and changes no result.
 
 A group of a key gives the pairs with its smallest member first.  Pairs of members that are
@@ -100,18 +100,15 @@ def _keys(keys: list[np.ndarray], rows: list[tuple[int, int, int]]) -> pa.Record
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs ``a, b`` whose codes in ``sets(node, hashes)`` are close enough."""
-
-    from spindle.llm.simhash import most_bits
-
-    bits = most_bits(similarity)
+    """The pairs ``a, b`` whose ``sets(node, hashes)`` are similar enough."""
 
     def run(batches):
         for batch in batches:
             found = []
             for x, y in zip(batch.column(2), batch.column(3)):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                found.append(int(np.bitwise_count(x ^ y).sum()) <= bits)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                found.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(found, pa.bool_()))
 
     one = lambda c: sets.select(F.col("node").alias(c), F.col("hashes").alias(f"{c}_set"))
@@ -123,12 +120,10 @@ def sets_of(docs: DataFrame, known: DataFrame, pairs: DataFrame, words: int) ->
     """``node, hashes`` of all nodes in ``pairs``; ``known(id, node)`` tells their texts."""
 
     def run(batches):
-        from spindle.llm.simhash import codes
-
         for batch in batches:
             for t in text_column(batch, 0):
                 own = shingles(t, words)
-                yield pa.record_batch([pa.array([node(own)], pa.int64()), pa.array([codes(t, words)[1].tobytes()], pa.binary())], names=["node", "hashes"])
+                yield pa.record_batch([pa.array([node(own)], pa.int64()), pa.array([own.tobytes()], pa.binary())], names=["node", "hashes"])
 
     need = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     ids = known.groupBy("node").agg(F.min("id").alias("id")).join(need, "node", "left_semi").select("id").distinct()

@@ -323,6 +323,18 @@ def test_similar_texts_whatever_the_edit(spark, shape, share):
     assert len(left) <= 30 + 3  # far more stayed when keys were blocks of a SimHash of the words
 
 
+@pytest.mark.parametrize("share, low, high", [(0.098, 0.8, 0.83), (0.115, 0.76, 0.8)])
+def test_similar_texts_are_decided_by_their_overlap(spark, share, low, high):
+    rng, texts = random.Random(10), []
+    while len(texts) < 80:
+        pair = edited(rng, "block", 600, share)
+        if low <= five_word_similarity(*pair) < high:
+            texts += pair
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    left = {r["doc_id"] for r in simhash.deduplicated(df, distance=0).collect()}
+    assert left == set(range(0, 80, 2) if low == 0.8 else range(80))
+
+
 # --- 6: top-k
 
 
