@@ -376,20 +376,19 @@ def deduplicated(
     group's smallest id; of rows that repeat it, one stays.  Rows with a null id name no
     group and stay.
 
-    Groups are the components of :func:`near_duplicates`; of these, the ones whose
-    representatives have similar texts (``similarity`` of shingles of ``similar_words``
-    words) are joined.  Ids are whole numbers."""
+    Groups are the components of all links between different texts: fingerprints within
+    ``distance`` bits, and texts with ``similarity`` of shingles of ``similar_words`` words
+    at least (:mod:`spindle.llm.similar`).  Ids are whole numbers."""
     own = materialize(named(docs, words, similar_words, id_col, text_col), "named")
     known = own.where("id is not null")
-    least = known.groupBy("fp").agg(F.min("id").alias("least"))
-    linked = components(near_links(known, distance))
-    rooted = least.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    first = rooted.groupBy("root").agg(F.min("least").alias("id")).select("id")
-    held = materialize(known.join(first, "id", "left_semi").dropDuplicates(["id"]), "held")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(held.select("id"), "id", "left_semi")
-    none = held.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-    found = similar_components(texts, held, none, similar_words, similarity, MOST)
-    least = held.groupBy("node").agg(F.min("id").alias("id")).join(found, "node", "left")
+    by_fp = known.groupBy("fp").agg(F.min("node").alias("a"))
+    same = known.select("fp", F.col("node").alias("b")).distinct().join(by_fp, "fp").select("a", "b")
+    near = near_links(known, distance)
+    near = near.join(by_fp.select(F.col("fp").alias("a"), F.col("a").alias("x")), "a").join(by_fp.select(F.col("fp").alias("b"), F.col("a").alias("y")), "b")
+    edges = materialize(same.unionByName(near.select(F.col("x").alias("a"), F.col("y").alias("b"))).where("a <> b"), "edges")
+    texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    found = similar_components(texts, known, edges, similar_words, similarity, MOST)
+    least = known.groupBy("node").agg(F.min("id").alias("id")).join(found, "node", "left")
     kept = materialize(least.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("id").alias("id")).select("id").distinct(), "kept")
     dropped = known.select("id").distinct().join(kept, "id", "left_anti").select(F.col("id").alias("_dropped"))
     left = docs.join(dropped, docs[id_col] == dropped["_dropped"], "left_anti")

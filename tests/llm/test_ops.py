@@ -335,6 +335,19 @@ def test_similar_texts_are_decided_by_their_overlap(spark, share, low, high):
     assert left == set(range(0, 80, 2) if low == 0.8 else range(80))
 
 
+def test_links_of_every_text_count(spark):
+    """A and B are within three bits, B and C similar, A and C neither."""
+    apart = lambda x, y: ((simhash.fingerprint(x) ^ simhash.fingerprint(y)) & (1 << 64) - 1).bit_count()
+    rng = random.Random(12)
+    while True:
+        b, c = edited(rng, "block", 500, 0.104)
+        a = " ".join(["other", *b.split()[1:]]) if b.split()[:20] == c.split()[:20] else b + " other"
+        if apart(a, b) <= 3 < apart(a, c) and five_word_similarity(a, c) < 0.8 <= five_word_similarity(b, c):
+            break
+    df = spark.createDataFrame([(0, a), (1, b), (2, c)], "doc_id long, text string")
+    assert [r["doc_id"] for r in simhash.deduplicated(df).collect()] == [0]
+
+
 # --- 6: top-k
 
 
