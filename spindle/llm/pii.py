@@ -84,20 +84,21 @@ def card(value: str, key: bytes) -> str | None:
 
 
 def phone(value: str, key: bytes) -> str | None:
-    """10 national digits, with or without +1, first and fourth of them 2 to 9; other
-    international numbers keep their country code."""
+    """10 national digits, with or without +1; the first and the fourth stay 0 or 1, or 2 to
+    9, as they were.  Digits that only look like a number (no + and no parenthesis) have 2 to
+    9 as the first.  Other international numbers keep their country code."""
     d = _digits(value)
     if value.lstrip().startswith("+") and not (d.startswith("1") and len(d) == 11):
         if not 8 <= len(d) <= 15:
             return None
         return _refill(value, d[:2] + _permuted(d[2:], key, b"phone+" + d[:2].encode()))
     head, own = d[:-10], d[-10:]
-    if len(own) != 10 or head not in ("", "1") or own[0] in "01":
+    if len(own) != 10 or head not in ("", "1") or own[0] in "01" and "+" not in value and "(" not in value:
         return None
-    strict = own[3] not in "01"
+    low = own[0] in "01", own[3] in "01"
     while True:
         own = _permuted(own, key, b"phone")
-        if own[0] not in "01" and (own[3] not in "01") == strict:
+        if (own[0] in "01", own[3] in "01") == low:
             return _refill(value, head + own)
 
 

@@ -540,6 +540,18 @@ def test_pseudonyms_keep_their_format():
         assert own.text(clean) == (clean, {})
 
 
+def test_written_numbers_go_whatever_their_area_code():
+    own, seen = pii.Pseudonymizer(b"key"), {}
+    for area in ("017", "132", "706", "200"):
+        for rest in ("555-7713", "155-1352", "055-0000"):
+            for form in (f"+1 ({area}) {rest}", f"({area}) {rest}", f"+1 {area}-{rest}"):
+                new, counts = own.text(f"call {form} now")
+                assert counts == {"phone": 1} and form not in new
+                seen.setdefault(area + rest, set()).add(re.sub(r"\D", "", new)[-10:])
+    assert all(len(v) == 1 for v in seen.values()) and len(set.union(*seen.values())) == len(seen)
+    assert own.text("part 017-555-7713")[1] == {}
+
+
 def test_different_values_stay_different():
     own = pii.Pseudonymizer(b"key")
     numbers = [f"706-555-{i:04d}" for i in range(0, 10000, 7)]
