@@ -85,10 +85,15 @@ class QualityNet:
     def top(self, means: np.ndarray) -> np.ndarray:
         return np.maximum(means @ self.hidden + self.hidden_bias, 0)
 
+    @staticmethod
+    def pieces(b: np.ndarray) -> range:
+        """Where the pieces begin; they share one chunk's length, so every chunk is seen whole."""
+        step = PIECE - HALF * STRIDE * 2
+        return range(0, max(1, len(b) - HALF * STRIDE * 2 if len(b) > PIECE else 1), step)
+
     def logit(self, text: bytes) -> float:
         b, best = np.frombuffer(text or b"\x00", dtype=np.uint8), np.zeros(HIDDEN, dtype=np.float32)
-        step = PIECE - HALF * STRIDE * 2  # pieces share one chunk's length, so every chunk is seen whole
-        for at in range(0, max(1, len(b) - HALF * STRIDE * 2 if len(b) > PIECE else 1), step):
+        for at in self.pieces(b):
             best = np.maximum(best, self.top(self.chunks(b[at : at + PIECE])[3]).max(axis=0))
         return float(best @ self.out + self.out_bias[0])
 
@@ -98,23 +103,39 @@ class QualityNet:
 
     def gradients(self, text: bytes, y: float, weight: float) -> dict[str, np.ndarray]:
         """Of the weighted log loss; only the chunks that hold a maximum get any."""
-        b = np.frombuffer(text or b"\x00", dtype=np.uint8)[:PIECE]
-        padded, x, z, means, size = self.chunks(b)
-        h = self.top(means)
-        at = h.argmax(axis=0)
-        best = h[at, np.arange(HIDDEN)]
+        b = np.frombuffer(text or b"\x00", dtype=np.uint8)
+        best, at, piece = None, None, np.zeros(HIDDEN, dtype=np.int64)  # of each maximum: its chunk and piece
+        for begin in self.pieces(b):
+            parts = self.chunks(b[begin : begin + PIECE])
+            h = self.top(parts[3])
+            own = h.argmax(axis=0)
+            top = h[own, np.arange(HIDDEN)]
+            if best is None:
+                best, at = top, own
+            else:
+                more = top > best
+                best, at, piece = np.where(more, top, best), np.where(more, own, at), np.where(more, begin, piece)
         logit = float(best @ self.out + self.out_bias[0])
         r = weight * (1 / (1 + np.exp(-np.clip(logit, -50, 50))) - y)
         g = {"out": r * best, "out_bias": np.array([r], dtype=np.float32)}
         dh = r * self.out * (best > 0)
-        g["hidden"], g["hidden_bias"] = means[at].T * dh, dh
-        dm = np.zeros((HIDDEN, FILTERS), dtype=np.float32)
-        dm[:] = self.hidden.T * dh[:, None]
+        g["hidden"], g["hidden_bias"] = np.zeros_like(self.hidden), dh
         g["first"], g["second"], g["bias"] = np.zeros_like(self.first), np.zeros_like(self.second), np.zeros_like(self.bias)
         g["embed"] = np.zeros_like(self.embed)
-        used, inverse = np.unique(at, return_inverse=True)
+        for begin in np.unique(piece):
+            if len(self.pieces(b)) > 1:
+                parts = self.chunks(b[begin : begin + PIECE])
+            self.backward(g, parts, np.flatnonzero(piece == begin), at, dh)
+        return g
+
+    def backward(self, g: dict[str, np.ndarray], parts, units: np.ndarray, at: np.ndarray, dh: np.ndarray) -> None:
+        """Adds the gradients through one piece's chunks ``at`` to ``g``, for the hidden units given."""
+        padded, x, z, means, size = parts
+        g["hidden"][:, units] = means[at[units]].T * dh[units]
+        dm = self.hidden.T[units] * dh[units, None]
+        used, inverse = np.unique(at[units], return_inverse=True)
         per_chunk = np.zeros((len(used), FILTERS), dtype=np.float32)
-        np.add.at(per_chunk, inverse, dm)
+        np.add.at(per_chunk, inverse, dm.astype(np.float32))
         for c, d in zip(used, per_chunk):
             a, e = c * HALF, min(len(z), (c + 2) * HALF)
             dz = (z[a:e] > 0) * (d / size[c])
@@ -125,15 +146,13 @@ class QualityNet:
             dx[:-1] += dz @ self.first.T
             dx[1:] += dz @ self.second.T
             np.add.at(g["embed"], padded[a * STRIDE : (e + 1) * STRIDE], dx.reshape(-1, EMBED + 1)[:, :EMBED])
-        return g
 
 
 def train(
     sample: list[tuple[str, int]], steps: int = 700, batch: int = 16, rate: float = 4e-3, seed: int = 7
 ) -> QualityNet:
-    """Fits the network with about ``steps`` steps of Adam; deterministic.  Classes weigh alike.  Texts longer
-    than ``PIECE`` bytes train by their first piece (scoring reads them whole).  A sample
-    without both classes gives a constant score."""
+    """Fits the network with about ``steps`` steps of Adam; deterministic.  Classes weigh alike; texts train
+    whole.  A sample without both classes gives a constant score."""
     net = QualityNet.initial(seed)
     y = np.array([v for _, v in sample], dtype=np.float32)
     if len(y) == 0 or y.min() == y.max():

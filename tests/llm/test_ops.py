@@ -446,6 +446,17 @@ def test_gradients_match_differences():
         assert abs((up - down) / 2e-4 - g[name][at]) < 2e-3
 
 
+def test_gradients_reach_the_end_of_a_long_text(monkeypatch):
+    text = b"some text that is long enough for several chunks of it " * 40 + b"ZZ%%QQ " * 60
+    net = quality.QualityNet.initial(3)
+    whole = net.gradients(text, 1.0, 1.0)
+    monkeypatch.setattr(quality, "PIECE", quality.HALF * quality.STRIDE * 6)  # the text has several pieces
+    assert len(text) > 2 * quality.PIECE
+    pieces = net.gradients(text, 1.0, 1.0)
+    assert abs(pieces["embed"][ord("%")]).max() > 0
+    assert all(np.allclose(pieces[n], whole[n], rtol=1e-3, atol=1e-5) for n in net.NAMES)
+
+
 @pytest.mark.parametrize("module, label", [(toxicity, "toxic"), (quality, "quality")])
 def test_predictions(spark, docs, none, module, label, monkeypatch):
     labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(12)] + [(None, 1, 1), (99, 1, 0), (4, None, None)], "doc_id long, quality int, toxic int")
