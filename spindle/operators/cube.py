@@ -4,12 +4,33 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spindle.sources.storage import materialize
+
 Measures = Mapping[str, str | Column]
+MOST_COLUMNS = 10_000  # of a pivot, as many as Spark's own takes
+
+
+@dataclass(frozen=True)
+class Join:
+    """A join that the caller gives: the other table, the condition over both sides' columns
+    as SQL text, and the kind."""
+
+    table: DataFrame
+    on: str
+    how: str = "inner"
+
+
+def with_joins(df: DataFrame, joins: Sequence[Join]) -> DataFrame:
+    """``df`` with the given joins, one after the other."""
+    for j in joins:
+        df = df.join(j.table, F.expr(j.on), j.how)
+    return df
 
 
 def where_all(df: DataFrame, filters: Mapping[str, Any] | None) -> DataFrame:
@@ -59,21 +80,23 @@ def pivot_name(value: Any, suffix: str = "count") -> str:
 
 
 def pivot(
-    df: DataFrame, row: str, column: str, measure: str | None = None, values: Sequence[Any] | None = None, suffix: str = "count"
-) -> DataFrame:
+    df: DataFrame, row: str, column: str, measure: str | None = None, values: Sequence[Any] | None = None, suffix: str = "count",
+    most: int = MOST_COLUMNS,
+) -> DataFrame:
     """One row per ``row`` value, one column per ``column`` value; counts by default, with
-    0 for absent cells.  Without ``values`` the distinct values are read first (a value
-    list as wide as the result)."""
+    0 for absent cells.
+
+    The table is aggregated to its cells once.  Without ``values`` the distinct ones are read
+    from the cells; more than ``most`` of them are refused, as each becomes a column."""
+    cells = df.groupBy(row, column).agg(F.expr(measure or "count(1)").alias("_v"))
     if values is None:
-        found = df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)
-        values = [r[0] for r in found.collect()]
-    hit = lambda v: F.col(column) == F.lit(v)
-    if measure is None:
-        cells = [F.count(F.when(hit(v), 1)).alias(pivot_name(v, suffix)) for v in values]
-        return df.groupBy(row).agg(*cells).orderBy(F.col(row).asc_nulls_last())
-    wide = df.groupBy(row).pivot(column, list(values)).agg(F.expr(measure))
-    wide = wide.select(row, *[F.col(f"`{v}`").alias(pivot_name(v, suffix)) for v in values])
-    return wide.fillna(0).orderBy(F.col(row).asc_nulls_last())
+        cells = materialize(cells, "cells")
+        found = cells.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).limit(most + 1)
+        values = [r[0] for r in found.collect()]  # at most ``most`` + 1
+        if len(values) > most:
+            raise ValueError(f"{column} has more than {most} values; name the wanted ones")
+    own = [F.first(F.when(F.col(column) == F.lit(v), F.col("_v")), ignorenulls=True).alias(pivot_name(v, suffix)) for v in values]
+    return cells.groupBy(row).agg(*own).fillna(0).orderBy(F.col(row).asc_nulls_last())
 
 
 def fan_out_safe_total(df: DataFrame, grain: Sequence[str], measure: str, name: str = "total") -> DataFrame:

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from spindle.sources.storage import materialize
+
 KEYMAP = "dimension string, natural_key string, surrogate_key string, source_id string"
 
 
@@ -19,17 +21,28 @@ def key_prefix(dimension: str) -> str:
 def numbered(df: DataFrame, order: list[str], name: str = "n", start: int = 0) -> DataFrame:
     """Adds a number from ``start`` + 1 without gaps, in total order of ``order``.
 
-    Rows are range-partitioned by the order, counted per partition, and numbered within
-    partitions, so no task gets all rows; only the counts, one per partition, are
-    broadcast.  The partitioned rows are persisted, as both steps need the same split."""
+    Rows are range-partitioned by the order, sorted within partitions, and written once with
+    partition and place; the places are shifted by the sizes of the partitions before.  So no
+    task gets all rows, and a lost executor cannot move a number."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()).persist()
+    placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    return _shifted(materialize(placed.withColumn("_at", F.monotonically_increasing_id()), "numbered"), name, start)
+
+
+def _shifted(placed: DataFrame, name: str, start: int) -> DataFrame:
+    """``_at``, a partition number above 33 bits of a place in it, as a number without gaps."""
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
-    counts = placed.groupBy("_part").agg(F.count("*").alias("_c"))
-    shifts = counts.select("_part", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_shift"))
-    within = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    own = placed.withColumn("_own", within).join(F.broadcast(shifts), "_part")
-    return own.withColumn(name, F.col("_own") + F.col("_shift") + F.lit(start)).drop("_part", "_own", "_shift")
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    shifts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    joined = placed.withColumn("_part", part).join(F.broadcast(shifts), "_part")
+    return joined.withColumn(name, F.col("_shift") + place + F.lit(start + 1)).drop("_part", "_at", "_shift")
+
+
+def numbered_as_read(df: DataFrame, name: str, start: int = 0) -> DataFrame:
+    """Adds a number from ``start`` + 1 without gaps, in the order of the input's partitions
+    and rows, without a sort."""
+    return _shifted(materialize(df.withColumn("_at", F.monotonically_increasing_id()), "read"), name, start)
 
 
 def empty_keymap(spark: SparkSession) -> DataFrame:

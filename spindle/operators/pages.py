@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PAGE_WORDS, BEST_PAGES, LONG_FROM = 500, 3, 3
@@ -23,15 +23,20 @@ CONCEPTS = {
 }
 
 
+def page_texts(text: Column, words: int = PAGE_WORDS) -> Column:
+    """The pages of a text: ``words`` blank-separated words each, one empty page at least."""
+    cut = F.regexp_extract_all(text, F.lit(rf"(?:[ \r\n]*[^ \r\n]+){{1,{words}}}"), F.lit(0))
+    return F.when(F.size(cut) == 0, F.array(text)).otherwise(cut)
+
+
 def pages(docs: DataFrame, id_col: str, text_col: str, words: int = PAGE_WORDS) -> DataFrame:
     """``id_col, page, text``: pages from 1 on, of ``words`` blank-separated words each.
 
-    A page keeps the line breaks between its words.  A text without words is one page."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    word = r"[^ \r\n]+"
-    cut = F.regexp_extract_all(text, F.lit(rf"(?:[ \r\n]*{word}){{1,{words}}}"), F.lit(0))
-    cut = F.when(F.size(cut) == 0, F.array(text)).otherwise(cut)
-    return docs.select(id_col, F.posexplode(cut).alias("page", "text")).select(id_col, (F.col("page") + 1).alias("page"), F.btrim("text", F.lit(" \r\n")).alias("text"))
+    A page keeps the line breaks between its words.  A text without words is one page; a null
+    text is empty; rows with a null or repeated id have pages like any other."""
+    cut = page_texts(F.coalesce(F.col(text_col), F.lit("")), words)
+    rows = docs.select(id_col, F.posexplode(cut).alias("page", "text"))
+    return rows.select(id_col, (F.col("page") + 1).alias("page"), F.btrim("text", F.lit(" \r\n")).alias("text"))
 
 
 def concept_scores(paged: DataFrame, id_col: str, concepts: Mapping[str, Sequence[str]] = CONCEPTS) -> DataFrame:
@@ -50,8 +55,11 @@ def concept_pages(docs: DataFrame, id_col: str, text_col: str, best: int = BEST_
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best)
 
 
-def document_summary(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id_col, pages, words, long``; long documents have more than ``LONG_FROM`` pages."""
-    words = F.size(F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(r"\S+"), F.lit(0)))
-    count = pages(docs, id_col, text_col).groupBy(id_col).agg(F.max("page").alias("pages"))
-    return docs.select(id_col, words.alias("words")).join(count, id_col).select(id_col, "pages", "words", (F.col("pages") > LONG_FROM).alias("long"))
+def document_summary(docs: DataFrame, id_col: str, text_col: str, words: int = PAGE_WORDS) -> DataFrame:
+    """``id_col, pages, words, long`` of every row, in one projection; long documents have more
+    than ``LONG_FROM`` pages.  A null text is empty: one page, no words."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    spaced = F.size(F.regexp_extract_all(text, F.lit(r"[^ \r\n]+"), F.lit(0)))
+    size = F.size(F.regexp_extract_all(text, F.lit(r"\S+"), F.lit(0)))
+    count = F.greatest(F.lit(1), F.ceil(spaced / F.lit(words))).cast("int")
+    return docs.select(id_col, count.alias("pages"), size.alias("words"), (count > LONG_FROM).alias("long"))

@@ -2,46 +2,64 @@
 
 from __future__ import annotations
 
+import json
+import zlib
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column as Expr
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spindle.functions.types import null_of, plain_label, plain_label_column, plain_name, safe_cast, trimmed
 from spindle.plans.spec import SOURCE_ROW, Column, CrosswalkEntry, Schema, Table
 
-#: From this many entries on, a crosswalk is joined instead of written as CASE.
-JOIN_FROM = 200
-
 
 def raw(name: str) -> Expr:
     return F.col(f"`{name}`")
 
 
-def crosswalk_column(label: Expr, entries: list[CrosswalkEntry], scope: Expr | None = None) -> Expr:
-    """The standard value of a label: entries of the row's scope first, then general ones;
-    null where none maps.  Labels and scopes compare by plain form."""
-    plain, own = plain_label_column(label), None if scope is None else plain_label_column(scope)
-    cases = [(plain == plain_label(e.value)) & (own == plain_label(e.scope)) for e in entries if e.scope is not None and own is not None]
-    values = [e.maps_to for e in entries if e.scope is not None and own is not None]
+def first_entries(entries: list[CrosswalkEntry]) -> dict[tuple[str, str | None], str]:
+    """Standard values by plain label and plain scope; the first entry of each counts."""
+    out: dict[tuple[str, str | None], str] = {}
     for e in entries:
-        if e.scope is None:
-            cases.append(plain == plain_label(e.value))
-            values.append(e.maps_to)
-    out = F.lit(None).cast("string")
-    for case, value in reversed(list(zip(cases, values))):
-        out = F.when(case, F.lit(value)).otherwise(out)
+        out.setdefault((plain_label(e.value), None if e.scope is None else plain_label(e.scope)), e.maps_to)
     return out
 
 
+def _lookup(values: dict[str, str], key: Expr) -> Expr:
+    """The value of ``key`` in a fixed table, null if it has none.
+
+    The table is one constant of the plan, dealt to buckets by checksum, so a lookup reads
+    one short bucket however long the table is, and the plan does not grow with it."""
+    size = max(1, len(values) // 4)
+    buckets: list[dict[str, str]] = [{} for _ in range(size)]
+    for k, v in values.items():
+        buckets[zlib.crc32(k.encode("utf-8")) % size][k] = v
+    table = F.from_json(F.lit(json.dumps(buckets)), T.ArrayType(T.MapType(T.StringType(), T.StringType())))
+    at = F.pmod(F.crc32(F.encode(key, "UTF-8")), F.lit(size)).cast("int")
+    return F.try_element_at(F.get(table, at), key)
+
+
+def crosswalk_column(label: Expr, entries: list[CrosswalkEntry], scope: Expr | None = None) -> Expr:
+    """The standard value of a label: entries of the row's scope first, then general ones;
+    null where none maps.  Labels and scopes compare by plain form; of entries with one plain
+    label and scope the first counts."""
+    plain, known = plain_label_column(label), first_entries(entries)
+    out = _lookup({at: v for (at, of), v in known.items() if of is None}, plain)
+    scoped = {f"{at}\n{of}": v for (at, of), v in known.items() if of is not None}
+    if scope is None or not scoped:
+        return out
+    return F.coalesce(_lookup(scoped, F.concat(plain, F.lit("\n"), plain_label_column(scope))), out)
+
+
 def crosswalk_join(df: DataFrame, label: Expr, entries: list[CrosswalkEntry], name: str, scope: Expr | None = None) -> DataFrame:
-    """``df`` with ``name`` from a large crosswalk: a scoped and a general lookup, each a
-    join with the distinct entries (broadcast when the optimiser finds them small)."""
-    spark = df.sparkSession
-    rows = [(plain_label(e.value), None if e.scope is None else plain_label(e.scope), e.maps_to) for e in entries]
-    table = spark.createDataFrame(rows, "l string, s string, v string")
+    """``df`` with ``name`` from a crosswalk of any size: a scoped and a general lookup, each a
+    join with the first entries (broadcast when the optimiser finds them small).  Every row of
+    ``df`` occurs once."""
+    rows = [(at, of, value) for (at, of), value in first_entries(entries).items()]
+    table = df.sparkSession.createDataFrame(rows, "l string, s string, v string")
     work = df.withColumn("_label", plain_label_column(label)).withColumn(
         "_scope", F.lit(None).cast("string") if scope is None else plain_label_column(scope)
     )

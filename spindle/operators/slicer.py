@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from itertools import combinations
 
@@ -9,6 +10,11 @@ from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 
+#: How cells of a finer grain add up to cells of a coarser one.
+ADDS_UP = {"count": "sum", "sum": "sum", "min": "min", "max": "max"}
+PLAIN = re.compile(r"\s*(count|sum|min|max)\s*\((?!\s*distinct\b)[^()]*\)\s*", re.IGNORECASE)
+
+
 def _grouped(df: DataFrame, dims: Sequence[str], sets: list[tuple[str, ...]]) -> GroupedData:
     return df.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in dims])
 
@@ -19,13 +25,18 @@ def cells(
     """All cells of all combinations of ``low`` to ``high`` dimensions: the dimensions,
     ``combination``, ``depth``, ``cell_count``.
 
-    One GROUPING SETS query reads the data once.  Cells with a null in a dimension of
+    One GROUPING SETS query reads the data once; counts, sums, smallest and largest values are
+    taken over the finest cells first.  Cells with a null in a dimension of
     their combination are dropped, which equals dropping those rows beforehand; so are
     cells below ``least``."""
     high = min(high, len(dims))
     sets = [s for d in range(low, high + 1) for s in combinations(dims, d)]
     if not sets:
         raise ValueError(f"no combination of {low} to {high} of {len(dims)} dimensions")
+    if isinstance(metric, str) and (plain := PLAIN.fullmatch(metric)):
+        # Combinations multiply the finest cells then, not the rows.
+        df = df.groupBy(*dims).agg(F.expr(metric).alias("_m"))
+        metric = F.expr(f"{ADDS_UP[plain[1].lower()]}(_m)")
     metric = F.expr(metric) if isinstance(metric, str) else metric
     out = _grouped(df, dims, sets).agg(metric.alias("cell_count"), *[F.grouping(c).alias(f"_g{i}") for i, c in enumerate(dims)])
     used = [F.when(F.col(f"_g{i}") == 0, F.lit(c)) for i, c in enumerate(dims)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,9 +10,12 @@ from pyspark.sql import functions as F
 
 from spindle.functions import masking
 from spindle.functions.types import plain_label_column, plain_name_column, safe_cast, trimmed
-from spindle.operators import checks, cube, keys, merge, pages, profile, resolve, slicer, vocabulary
+from spindle.operators import checks, cube, keys, merge, pages, profile, resolve, slicer, synthetic, vocabulary
 from spindle.operators.graph import JoinGraph
-from spindle.plans.spec import SOURCE_ROW, CrosswalkEntry
+from spindle.plans import runs
+from spindle.plans.spec import SOURCE_ROW, CrosswalkEntry, parse
+from spindle.sources.storage import shared_dir
+from spindle.sources.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -318,7 +322,8 @@ WITH r AS (SELECT *, row_number() OVER (ORDER BY {LINES_IN_ORDER}) AS n FROM lin
 SELECT l_partkey, CAST(arg_min(l_suppkey, n) AS BIGINT) AS l_suppkey, arg_min(CASE WHEN l_returnflag <> 'N' THEN l_returnflag END, n) FILTER (WHERE l_returnflag <> 'N') AS returned
 FROM r GROUP BY l_partkey""")
 def a6_first_values(spark, sf_dir):
-    rows = keys.numbered(table(spark, sf_dir, "lineitem"), ORDER_OF_LINES, SOURCE_ROW)
+    # A total order needs no numbers here: the columns themselves are compared.
+    rows = table(spark, sf_dir, "lineitem").withColumn(SOURCE_ROW, F.struct(*ORDER_OF_LINES))
     rows = rows.select("l_partkey", "l_suppkey", F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("returned"), SOURCE_ROW)
     return merge.first_values(rows, "l_partkey")
 
@@ -535,19 +540,41 @@ def m16_mask_contacts(spark, sf_dir):
     return docs.select("doc_id", masking.mask_contacts(F.col("text"), ["PHONE_NUMBER", "EMAIL_ADDRESS"]).alias("text"))
 
 
-@registered("SELECT c_custkey, 'Patient Name: <REDACTED_PATIENT_NAME> <REDACTED_MRN> <REDACTED_NIN> tel <REDACTED_PHONE> mail <REDACTED_EMAIL>.' AS note FROM customer WHERE c_custkey < 10000")
+@registered("SELECT c_custkey, 'Patient Name: <REDACTED_PATIENT_NAME> <REDACTED_MRN> <REDACTED_NIN> tel <REDACTED_PHONE> mail <REDACTED_EMAIL>.' AS note FROM customer")
 def m16_mask_all(spark, sf_dir):
     c = F.col("c_custkey")
     note = F.concat(
-        F.lit("Patient Name: Ann Mary Otim MRN-UG-"), (c + 100000).cast("string"), F.lit(" NIN CM9501"), F.lpad(c.cast("string"), 4, "0"),
+        F.lit("Patient Name: Ann Mary Otim\nMRN-UG-"), (c % 1000000 + 1000000).cast("string"), F.lit(" NIN CM9501"), F.lpad((c % 10000).cast("string"), 4, "0"),
         F.lit("XYZ1 tel 0772 123 456 mail a"), c.cast("string"), F.lit("@b.org."),
     )
-    note = F.regexp_replace(note, "Otim MRN", "Otim\nMRN")
     masked = F.regexp_replace(masking.mask(note), "\n", " ")
-    return table(spark, sf_dir, "customer").where("c_custkey < 10000").select("c_custkey", masked.alias("note"))
+    return table(spark, sf_dir, "customer").select("c_custkey", masked.alias("note"))
 
 
-@registered()
+@registered("""
+SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN 'Patient Name: <REDACTED_PATIENT_NAME>, Age: 5' WHEN 1 THEN '<REDACTED_PATIENT_NAME> saw ' || c_name
+WHEN 2 THEN 'Clinician: Mulago Hospital ' || c_mktsegment WHEN 3 THEN 'Signed: <REDACTED_CLINICIAN>' WHEN 4 THEN 'Next of kin - <REDACTED_PATIENT_NAME> Ward: ' || c_mktsegment
+ELSE 'Nurse Kampala, at the ' || lower(c_mktsegment) END AS note FROM customer""")
+def m16_names(spark, sf_dir):
+    k, segment = F.col("c_custkey") % 6, F.col("c_mktsegment")
+    note = (
+        F.when(k == 0, "Patient Name: Ann O'Tim, Age: 5").when(k == 1, F.concat(F.lit("Dr. Okello saw "), "c_name"))
+        .when(k == 2, F.concat(F.lit("Clinician: Mulago Hospital "), segment)).when(k == 3, "Signed: K. Muwonge")
+        .when(k == 4, F.concat(F.lit("Next of kin - Mary Ann Ward: "), segment)).otherwise(F.concat(F.lit("Nurse Kampala, at the "), F.lower(segment)))
+    )
+    return table(spark, sf_dir, "customer").select("c_custkey", masking.mask_names(note, ["kampala"]).alias("note"))
+
+
+def _entities_sql() -> str:
+    """Every kind in the text that the kinds before it left."""
+    text, parts = "coalesce(text, '')", []
+    for kind, mask, pattern in masking.IDENTIFIERS:
+        parts.append(f"SELECT doc_id, '{kind}' AS entity_type, u.m AS match FROM documents, unnest(regexp_extract_all({text}, '{pattern}')) AS u(m)")
+        text = f"regexp_replace({text}, '{pattern}', '{mask}', 'g')"
+    return " UNION ALL ".join(parts)
+
+
+@registered(_entities_sql())
 def m16_entities(spark, sf_dir):
     return masking.entities(table(spark, sf_dir, "documents"), "text", "doc_id")
 
@@ -575,16 +602,158 @@ def s7_concept_pages(spark, sf_dir):
     return pages.concept_pages(table(spark, sf_dir, "documents"), "doc_id", "text", concepts=_CONCEPTS)
 
 
-@registered(" UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS rows FROM {t}" for t in ("region", "nation", "customer", "orders", "lineitem")))
+# --- a loaded warehouse -------------------------------------------------------------------
+
+#: The order lines as a constellation: orders are the spine.
+SALES = {
+    "schema_id": "sales", "spine": {"table": "dim_order", "key": "order_id"}, "main_fact": "fact_lines",
+    "tables": {
+        "dim_customer": {"kind": "dimension", "key": "customer_id", "columns": {
+            "customer_id": {"type": "VARCHAR", "role": "key", "required": True, "aliases": ["o_custkey"]},
+            "segment": {"type": "VARCHAR", "aliases": ["c_mktsegment"]}, "balance": {"type": "DOUBLE", "aliases": ["c_acctbal"]}}},
+        "dim_order": {"kind": "dimension", "key": "order_id", "links": ["dim_customer"], "columns": {
+            "order_id": {"type": "VARCHAR", "role": "key", "required": True, "aliases": ["o_orderkey"]},
+            "order_day": {"type": "DATE", "required": True}, "status": {"type": "VARCHAR", "aliases": ["o_orderstatus"], "allowed": ["O", "F", "P"]},
+            "order_year": {"type": "BIGINT", "expr": "year(try_cast(order_day as date))", "inputs": ["order_day"]}}},
+        "fact_lines": {"kind": "fact", "columns": {
+            "line": {"type": "BIGINT", "aliases": ["l_linenumber"]}, "part": {"type": "BIGINT", "aliases": ["l_partkey"]},
+            "supplier": {"type": "BIGINT", "aliases": ["l_suppkey"]},
+            "quantity": {"type": "DOUBLE", "role": "measure", "range": [0, 100], "aliases": ["l_quantity"]},
+            "price": {"type": "DOUBLE", "role": "measure", "aliases": ["l_extendedprice"]},
+            "returned": {"type": "VARCHAR", "allowed": ["A", "N", "R"], "aliases": ["l_returnflag"]}}},
+    },
+}
+EXPORTED = ["o_orderkey", "o_custkey", "c_mktsegment", "c_acctbal", "order_day", "o_orderstatus", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag"]
+#: What each load brings: orders with even keys first, all others, then the first source again
+#: without a fifth of its orders and with another quantity.
+_PARTS = {"even": "o_orderkey % 2 = 0", "odd": "o_orderkey % 2 <> 0", "again": "o_orderkey % 2 = 0 AND o_orderkey % 5 <> 0"}
+_LOADED = """(SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'even' ELSE 'odd' END AS source_id, * FROM (SELECT DISTINCT o_orderkey, l_linenumber, l_partkey, l_suppkey,
+CASE WHEN o_orderkey % 2 = 0 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity, l_extendedprice, l_returnflag
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderkey % 2 <> 0 OR o_orderkey % 5 <> 0))"""
+_HOUSES: dict[tuple[str, str], Warehouse] = {}
+
+
+def export(spark, sf_dir: str, which: str) -> str:
+    """A raw CSV export of order lines; the folder's path."""
+    wide = sales_graph().joined(tables(spark, sf_dir, "lineitem", "orders", "customer"), "lineitem", "customer")
+    wide = wide.withColumn("o_orderkey", F.col("l_orderkey")).withColumn("order_day", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    if "o_custkey" not in wide.columns:
+        wide = wide.withColumn("o_custkey", F.col("c_custkey"))
+    if which == "again":
+        wide = wide.withColumn("l_quantity", F.col("l_quantity") + 1)
+    path = f"{shared_dir(spark)}/export-{which}-{uuid.uuid4().hex}"
+    wide.where(_PARTS[which]).select(*EXPORTED).write.option("header", True).option("escape", '"').csv(path)
+    return path
+
+
+def loaded_sales(spark, sf_dir: str) -> Warehouse:
+    """A warehouse after three loads of two sources, one for each session and folder."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _HOUSES:
+        house = Warehouse(spark, f"{shared_dir(spark)}/house-{uuid.uuid4().hex}")
+        for which, source in (("even", "even"), ("odd", "odd"), ("again", "even")):
+            summary = house.load(parse(SALES), export(spark, sf_dir, which), source, multi_line=False)
+            if not summary["ok"]:
+                raise RuntimeError(f"load of {which}: {summary}")
+        _HOUSES[at] = house
+    return _HOUSES[at]
+
+
+@registered(f"""SELECT source_id, COUNT(*) AS rows, CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity,
+CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS price FROM {_LOADED} GROUP BY source_id""")
+def s12_reloaded_facts(spark, sf_dir):
+    sums = ", ".join(f"{money(c)} AS {c}" for c in ("quantity", "price"))
+    return loaded_sales(spark, sf_dir).query(f"SELECT _source_id AS source_id, count(*) AS rows, {sums} FROM fact_lines GROUP BY _source_id")
+
+
+@registered("""
+SELECT c_mktsegment AS segment, COUNT(*) AS customers, CAST(SUM(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance
+FROM customer WHERE c_custkey IN (SELECT o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey) GROUP BY c_mktsegment""")
+def s13_loaded_dimension(spark, sf_dir):
+    return loaded_sales(spark, sf_dir).query(f"SELECT segment, count(*) AS customers, {money('balance')} AS balance FROM dim_customer GROUP BY segment")
+
+
+@registered(f"""
+SELECT o_orderstatus AS status, CAST(year(o_orderdate) AS BIGINT) AS order_year, COUNT(*) AS n FROM {_LOADED} f JOIN orders USING (o_orderkey) GROUP BY 1, 2""")
+def s19_query(spark, sf_dir):
+    sql = "SELECT status, order_year, count(*) AS n FROM fact_lines JOIN dim_order ON fact_lines.order_id = dim_order.order_id GROUP BY status, order_year"
+    return loaded_sales(spark, sf_dir).query(sql)
+
+
+@registered(f"""
+SELECT 'fact_lines' AS table_name, COUNT(*) AS rows FROM {_LOADED} UNION ALL SELECT 'dim_data_source', 2
+UNION ALL SELECT 'dim_order', COUNT(DISTINCT l_orderkey) FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+UNION ALL SELECT 'dim_customer', COUNT(DISTINCT o_custkey) FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 def s20_table_counts(spark, sf_dir):
-    out = None
-    for name, df in tables(spark, sf_dir, "region", "nation", "customer", "orders", "lineitem").items():
-        own = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
-        out = own if out is None else out.unionByName(own)
-    return out
+    return loaded_sales(spark, sf_dir).table_counts()
+
+
+@registered("""
+SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'even' ELSE 'odd' END AS source_id, 'sales' AS schema_id, FALSE AS is_synthetic, COUNT(*) AS row_count, CAST(12 AS BIGINT) AS column_count
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderkey % 2 <> 0 OR o_orderkey % 5 <> 0 GROUP BY 1""")
+def s14_registry(spark, sf_dir):
+    return loaded_sales(spark, sf_dir).read("dim_data_source").select("source_id", "schema_id", "is_synthetic", "row_count", "column_count")
+
+
+@registered(f"""
+WITH f AS (SELECT * FROM {_LOADED} WHERE source_id = 'odd'),
+n(rows, quantity, price, orders, customers) AS (SELECT COUNT(*), SUM(CAST(l_quantity AS DECIMAL(18,2))), SUM(CAST(l_extendedprice AS DECIMAL(18,2))), COUNT(DISTINCT o_orderkey),
+(SELECT COUNT(DISTINCT o_custkey) FROM orders WHERE o_orderkey IN (SELECT o_orderkey FROM f)) FROM f)
+SELECT "check", target, CAST(value AS DOUBLE) AS expected, CAST(value AS DOUBLE) AS actual, TRUE AS passed FROM n, unnest([
+{{'check': 'fact_row_parity', 'target': 'fact_lines', 'value': CAST(rows AS DECIMAL(20,2))}}, {{'check': 'measure_sum_parity', 'target': 'fact_lines.quantity', 'value': CAST(quantity AS DECIMAL(20,2))}},
+{{'check': 'measure_sum_parity', 'target': 'fact_lines.price', 'value': CAST(price AS DECIMAL(20,2))}}, {{'check': 'entity_coverage', 'target': 'dim_order', 'value': CAST(orders AS DECIMAL(20,2))}},
+{{'check': 'entity_coverage', 'target': 'dim_customer', 'value': CAST(customers AS DECIMAL(20,2))}}, {{'check': 'orphan_keys', 'target': 'dim_order.customer_id', 'value': CAST(0 AS DECIMAL(20,2))}},
+{{'check': 'orphan_keys', 'target': 'fact_lines.order_id', 'value': CAST(0 AS DECIMAL(20,2))}}, {{'check': 'value_parity', 'target': 'fact_lines', 'value': CAST(0 AS DECIMAL(20,2))}},
+{{'check': 'value_parity', 'target': 'dim_order', 'value': CAST(0 AS DECIMAL(20,2))}}, {{'check': 'value_parity', 'target': 'dim_customer', 'value': CAST(0 AS DECIMAL(20,2))}},
+{{'check': 'derived_parity', 'target': 'dim_order.order_year', 'value': CAST(0 AS DECIMAL(20,2))}}, {{'check': 'lineage', 'target': 'dim_data_source', 'value': CAST(1 AS DECIMAL(20,2))}},
+{{'check': 'spine_coverage', 'target': 'fact_lines', 'value': CAST(orders AS DECIMAL(20,2))}}]) AS u(c), LATERAL (SELECT c['check'] AS "check", c['target'] AS target, c['value'] AS value)""")
+def c13_c20_postload(spark, sf_dir):
+    summary = loaded_sales(spark, sf_dir).check(parse(SALES), "odd")
+    rows = [checks.Result(**r) for r in summary["results"] if r["phase"] == "postload"]
+    out = checks.as_frame(spark, rows)
+    return out.select("check", "target", F.col("expected").cast("double").alias("expected"), F.col("actual").cast("double").alias("actual"), "passed")
 
 
 @registered("SELECT o_orderstatus, COUNT(*) AS n FROM orders GROUP BY o_orderstatus")
 def s19_sql(spark, sf_dir):
     table(spark, sf_dir, "orders").createOrReplaceTempView("orders")
     return spark.sql("SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus")
+
+
+@registered("""
+SELECT * FROM (VALUES ('o_orderkey', 'VARCHAR', 'key', 'dim_order', TRUE), ('o_custkey', 'VARCHAR', 'key', 'dim_customer', TRUE), ('c_mktsegment', 'VARCHAR', 'attribute', 'dim_customer', FALSE),
+('c_acctbal', 'DOUBLE', 'attribute', 'dim_customer', FALSE), ('order_day', 'DATE', 'attribute', 'dim_order', FALSE), ('o_orderstatus', 'VARCHAR', 'attribute', 'dim_order', FALSE),
+('l_linenumber', 'BIGINT', 'attribute', 'fact_lines', FALSE), ('l_partkey', 'BIGINT', 'attribute', 'fact_lines', FALSE), ('l_suppkey', 'BIGINT', 'attribute', 'fact_lines', FALSE),
+('l_quantity', 'DOUBLE', 'measure', 'fact_lines', FALSE), ('l_extendedprice', 'DOUBLE', 'measure', 'fact_lines', FALSE), ('l_returnflag', 'VARCHAR', 'attribute', 'fact_lines', FALSE))
+AS t(variable, data_type, role, "table", is_key)""")
+def m13_inventory(spark, sf_dir):
+    rows = runs.FieldInventory(resolve.resolve(parse(SALES), EXPORTED)).rows()
+    schema = "variable string, data_type string, role string, table string, is_key boolean"
+    return spark.createDataFrame([tuple(r.values()) for r in rows], schema)
+
+
+@registered()
+def m10_dummy(spark, sf_dir):
+    return synthetic.generate(spark, parse(SALES), visits=200, seed=7)
+
+
+@registered("""
+SELECT 'status,returned' AS combination, 2 AS depth, COUNT(*) AS non_empty_cells, CAST(SUM(n) AS BIGINT) AS total_volume FROM (SELECT o_orderstatus, l_returnflag, COUNT(*) AS n FROM (""" + _LOADED + """) f JOIN orders USING (o_orderkey) GROUP BY 1, 2)""")
+def m22_run(spark, sf_dir):
+    house = loaded_sales(spark, sf_dir)
+    out = runs.run_pipeline(house, parse(SALES), [], slice_dims=1, depth=(2, 2))
+    wide = JoinGraph.of(parse(SALES)).joined({t: house.read(t).drop("_source_id", "_source_row") for t in ("fact_lines", "dim_order")}, "fact_lines", "dim_order")
+    assert [p["target"] for p in out["paths"]] == ["dim_order", "dim_customer"]
+    return slicer.deep_slices(wide, ["status", "returned"], 2, 2).select("combination", "depth", "non_empty_cells", "total_volume")
+
+
+@registered("""
+SELECT p_brand, r_name, COUNT(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey AND p_size > 25 LEFT JOIN supplier ON l_suppkey = s_suppkey AND s_acctbal > 0
+LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey GROUP BY p_brand, r_name""")
+def j9_given_joins(spark, sf_dir):
+    own = tables(spark, sf_dir, "lineitem", "part", "supplier", "nation", "region")
+    joins = [
+        cube.Join(own["part"], "l_partkey = p_partkey and p_size > 25"), cube.Join(own["supplier"], "l_suppkey = s_suppkey and s_acctbal > 0", "left"),
+        cube.Join(own["nation"], "s_nationkey = n_nationkey", "left"), cube.Join(own["region"], "n_regionkey = r_regionkey", "left"),
+    ]
+    return cube.slice_and_dice(cube.with_joins(own["lineitem"], joins), {"n": "count(1)"}, ["p_brand", "r_name"])

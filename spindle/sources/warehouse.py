@@ -1,9 +1,11 @@
 """Stored tables as versioned Parquet folders, and the load of a source.
 
-A table lives in ``<root>/tables/<name>/v<n>``; ``_current`` names the version in use, so
-a reader sees the old table until the new one is complete.  Facts are partitioned by
-source: reloading a source rewrites its partition alone.  Staged text and the key map,
-which hold natural keys, live apart in ``<private>``.
+A table lives in ``<root>/tables/<name>``.  Each commit is a new file in its ``_commits``,
+numbered upwards, that names the folder in use and its schema; the largest number counts, so
+a reader sees the old table until the new one is complete, and no file is ever changed.
+Facts are partitioned by source: reloading a source rewrites its partition alone.  Staged
+text and the key map, which hold natural keys, live apart in ``<private>``.  All paths are
+reached through Hadoop's file system, so both may be in any store of the cluster.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from __future__ import annotations
 import datetime
 import hashlib
 import json
-from pathlib import Path
+from pathlib import Path, PurePosixPath
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +26,7 @@ from spindle.operators.merge import first_values, fold_facts, merge_dimension
 from spindle.operators.resolve import Resolution, fact_rows, resolve, typed
 from spindle.plans.spec import SOURCE_ID, SOURCE_ROW, Schema, Table, source_id_of, spark_field
 from spindle.sources.staging import stage_csv
+from spindle.sources.storage import Store
 
 SOURCES = (
     "source_id string, source_name string, file_name string, file_sha256 string, schema_id string, schema_sha256 string, "
@@ -42,54 +45,55 @@ class LoadRefused(RuntimeError):
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str | Path, private: str | Path | None = None):
-        self.spark, self.root = spark, Path(root)
-        self.private = Path(private) if private else self.root.with_name(self.root.name + "_private")
+        self.spark, self.root, self.store = spark, str(root).rstrip("/"), Store(spark)
+        self.private = str(private).rstrip("/") if private else f"{self.root}_private"
 
     # --- tables
 
-    def _dir(self, name: str, private: bool = False) -> Path:
-        return (self.private if private else self.root / "tables") / name
+    def _dir(self, name: str, private: bool = False) -> str:
+        return f"{self.private if private else self.root + '/tables'}/{name}"
+
+    def _commits(self, name: str, private: bool = False) -> list[str]:
+        return [c for c in self.store.children(f"{self._dir(name, private)}/_commits") if c.endswith(".json")]
+
+    def _state(self, name: str, private: bool = False) -> tuple[str, T.StructType]:
+        """Folder and schema of the last commit."""
+        last = json.loads(self.store.read(f"{self._dir(name, private)}/_commits/{self._commits(name, private)[-1]}"))
+        return f"{self._dir(name, private)}/{last['folder']}", T.StructType.fromJson(last["schema"])
+
+    def _commit(self, name: str, folder: str, schema: T.StructType, private: bool = False) -> None:
+        number = len(self._commits(name, private)) + 1
+        text = json.dumps({"folder": PurePosixPath(folder).name, "schema": schema.jsonValue()})
+        self.store.create(f"{self._dir(name, private)}/_commits/{number:09d}.json", text)
 
     def exists(self, name: str, private: bool = False) -> bool:
-        return (self._dir(name, private) / "_current").exists()
+        return bool(self._commits(name, private))
 
     def names(self) -> list[str]:
-        return sorted(p.parent.name for p in (self.root / "tables").glob("*/_current"))
+        return [n for n in self.store.children(f"{self.root}/tables") if self.exists(n)]
 
     def read(self, name: str, private: bool = False) -> DataFrame:
-        folder = self._dir(name, private)
-        version = (folder / "_current").read_text().strip()
-        schema = T.StructType.fromJson(json.loads((folder / f"{version}.schema.json").read_text()))
-        return self.spark.read.schema(schema).parquet(str(folder / version)).select(*schema.names)
+        folder, schema = self._state(name, private)
+        return self.spark.read.schema(schema).parquet(folder).select(*schema.names)
 
     def write(self, name: str, df: DataFrame, private: bool = False, by_source: bool = False) -> None:
-        """A new version of a table; the pointer moves when it is complete."""
-        folder = self._dir(name, private)
-        folder.mkdir(parents=True, exist_ok=True)
-        old = (folder / "_current").read_text().strip() if self.exists(name, private) else "v0"
-        version = f"v{int(old[1:]) + 1}"
+        """A new version of a table, committed when it is complete."""
+        folder = f"{self._dir(name, private)}/v{len(self._commits(name, private)) + 1}"
         writer = df.write.mode("overwrite")
-        (writer.partitionBy(SOURCE_ID) if by_source else writer).parquet(str(folder / version))
-        self._point(folder, version, df.schema)
-
-    def _point(self, folder: Path, version: str, schema: T.StructType) -> None:
-        (folder / f"{version}.schema.json").write_text(schema.json())
-        (folder / "_next").write_text(version)
-        (folder / "_next").replace(folder / "_current")
+        (writer.partitionBy(SOURCE_ID) if by_source else writer).parquet(folder)
+        self._commit(name, folder, df.schema, private)
 
     def write_source(self, name: str, df: DataFrame) -> None:
         """Replaces one source's partition of a fact; other sources are not touched."""
-        folder = self._dir(name)
         if not self.exists(name):
             return self.write(name, df, by_source=True)
-        version = (folder / "_current").read_text().strip()
-        stored = self.read(name).schema
+        folder, stored = self._state(name)
         fields = {f.name: f for f in stored} | {f.name: f for f in df.schema if f.name not in stored.names}
         for f in df.schema:
             if f.name in stored.names and stored[f.name].dataType != f.dataType:
                 raise TypeError(f"{name}.{f.name} is {stored[f.name].dataType.simpleString()}, not {f.dataType.simpleString()}")
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(SOURCE_ID).parquet(str(folder / version))
-        return self._point(folder, version, T.StructType(list(fields.values())))
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(SOURCE_ID).parquet(folder)
+        return self._commit(name, folder, T.StructType(list(fields.values())))
 
     def table_counts(self) -> DataFrame:
         """``table_name, rows`` of all tables."""
@@ -123,17 +127,17 @@ class Warehouse:
 
     def load(
         self, schema: Schema, path: str, source_name: str | None = None, synthetic: bool = False, force: bool = False,
-        compat: bool = False,
+        compat: bool = False, multi_line: bool = True,
     ) -> dict[str, Any]:
         """Stages, checks, keys, writes and checks again; returns the summary (counts only).
 
-        Failed error checks before the load refuse it unless ``force``."""
-        source = source_id_of(source_name or Path(path).stem)
-        self.private.mkdir(parents=True, exist_ok=True)
-        self.write(f"stg_{source}", stage_csv(self.spark, path), private=True)
+        Failed error checks before the load refuse it unless ``force``.  ``multi_line``: whether
+        cells may hold line ends (then one task reads each file)."""
+        source = source_id_of(source_name or PurePosixPath(path).stem)
+        self.write(f"stg_{source}", stage_csv(self.spark, path, multi_line), private=True)
         staged = self.read(f"stg_{source}", private=True).persist()
         try:
-            return self._load(schema, staged, source, source_name or Path(path).stem, path, synthetic, force, compat)
+            return self._load(schema, staged, source, source_name or PurePosixPath(path).stem, path, synthetic, force, compat)
         finally:
             staged.unpersist()
 
@@ -183,10 +187,10 @@ class Warehouse:
         self.write_source(t.name, own)
 
     def _register(self, schema, source, source_name, path, synthetic, staged) -> None:
-        digest = lambda b: hashlib.sha256(b).hexdigest()
         row = (
-            source, source_name, Path(path).name, digest(Path(path).read_bytes()) if Path(path).is_file() else None, schema.schema_id,
-            digest(schema.to_yaml().encode()), synthetic, staged.count(), len(staged.columns) - 1, datetime.datetime.now().replace(microsecond=0),
+            source, source_name, PurePosixPath(path).name, self.store.sha256(path) if self.store.is_file(path) else None, schema.schema_id,
+            hashlib.sha256(schema.to_yaml().encode()).hexdigest(), synthetic, staged.count(), len(staged.columns) - 1,
+            datetime.datetime.now().replace(microsecond=0),
         )
         own = self.spark.createDataFrame([row], SOURCES)
         if self.exists("dim_data_source"):
@@ -209,7 +213,11 @@ class Warehouse:
                 mapped.exprs[(t.name, t.key)] = F.col(at)
         tables = {t.name: self.read(t.name) for t in schema.tables.values() if self.exists(t.name)}
         registered = self.read("dim_data_source").where(F.col("source_id") == source).count()
-        return checks.postload(keyed.persist(), mapped, tables, source, registered)
+        keyed = keyed.persist()
+        try:
+            return checks.postload(keyed, mapped, tables, source, registered)
+        finally:
+            keyed.unpersist()
 
     def check(self, schema: Schema, source_name: str, compat: bool = False) -> dict[str, Any]:
         """All checks again for a loaded source."""
@@ -219,10 +227,10 @@ class Warehouse:
         results = checks.preflight(staged, res, self.keymap(), source) + self._postload(schema, staged, res, source)
         return checks.summarize(results) | {"source_id": source, "schema_id": schema.schema_id}
 
-    def record_issues(self, schema: Schema, source: str, summary: dict[str, Any]) -> Path:
-        """The data issues of a load as a JSON file."""
+    def record_issues(self, schema: Schema, source: str, summary: dict[str, Any]) -> str:
+        """The data issues of a load as a new JSON file, ``<root>/data_issues/<source>/<n>.json``."""
         issues = [r for r in summary["results"] if r["severity"] == "data_issue" and not r["passed"]]
-        out = self.root / "data_issues" / f"{source}.json"
-        out.parent.mkdir(parents=True, exist_ok=True)
-        out.write_text(json.dumps({"schema_id": schema.schema_id, "source_id": source, "issues": issues}, indent=2, default=str))
+        folder = f"{self.root}/data_issues/{source}"
+        out = f"{folder}/{len(self.store.children(folder)) + 1:06d}.json"
+        self.store.create(out, json.dumps({"schema_id": schema.schema_id, "source_id": source, "issues": issues}, indent=2, default=str))
         return out

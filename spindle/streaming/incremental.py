@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from spindle.operators.merge import merge_dimension
+from spindle.operators.merge import first_values, merge_dimension
+from spindle.sources.storage import Store
 
 
 def read_files(spark: SparkSession, folder: str, schema: T.StructType, kind: str = "parquet", per_batch: int | None = None) -> DataFrame:
@@ -21,33 +22,39 @@ def read_files(spark: SparkSession, folder: str, schema: T.StructType, kind: str
 
 
 def append_new(stream: DataFrame, path: str, keys: list[str], checkpoint: str) -> StreamingQuery:
-    """Appends each batch's rows whose keys are not stored yet, one row per key."""
+    """Appends each batch's rows whose keys are not stored yet, one row per key: the first
+    in the order of the other columns' values."""
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        new = batch.dropDuplicates(keys)
-        try:
-            stored = spark.read.parquet(path).select(*keys)
-            new = new.join(stored, keys, "left_anti")
-        except Exception as e:  # the first batch finds no table
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
+        others = [c for c in batch.columns if c not in keys]
+        new = batch.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_row")).select(*keys, "_row.*") if others else batch.distinct()
+        new = new.select(*batch.columns)
+        if Store(batch.sparkSession).children(path):  # the first batch finds no table
+            new = new.join(batch.sparkSession.read.schema(batch.schema).parquet(path).select(*keys), keys, "left_anti")
         new.write.mode("append").parquet(path)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def merge_into(stream: DataFrame, path: str, key: str, checkpoint: str) -> StreamingQuery:
-    """Merges each batch into a dimension: new keys come in, gaps are filled.  Versions
-    alternate between two folders, named in ``<path>/_current`` by batch number."""
+def merge_into(stream: DataFrame, path: str, key: str, checkpoint: str, order: str | None = None) -> StreamingQuery:
+    """Merges each batch into a dimension: new keys come in, gaps are filled.
+
+    Batch n writes ``<path>/v<n>`` from ``v<n - 1>``, so a replayed batch writes the same
+    version again; versions before the last two are removed.  Of several values in a batch the
+    first by ``order`` counts, else the smallest."""
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        values = [c for c in batch.columns if c != key]
-        new = batch.where(F.col(key).isNotNull()).groupBy(key).agg(*[F.first(c, ignorenulls=True).alias(c) for c in values])
+        if order:
+            new = first_values(batch, key, order)
+        else:
+            values = [c for c in batch.columns if c != key]
+            new = batch.where(F.col(key).isNotNull()).groupBy(key).agg(*[F.min(c).alias(c) for c in values])
         if number:
             new = merge_dimension(spark.read.parquet(f"{path}/v{number - 1}"), new, key)
         new.write.mode("overwrite").parquet(f"{path}/v{number}")
+        if number > 1:
+            Store(spark).remove(f"{path}/v{number - 2}")
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

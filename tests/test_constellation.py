@@ -296,7 +296,7 @@ def test_profile_files(spark, tmp_path):
     assert dictionary[0]["allowed_values"] == ["A", "B"] and dictionary[0]["declared_type"] == "text"
     assert next(v for v in merge_sources(eda, dictionary) if v["name"] == "ward")["description"] == "The ward"
     assert split_values("a; b") == ["a", "b"] and split_values("") == []
-    assert split_entry("b.xlsx#S 1") == ("b.xlsx", "S 1") and entry_stem("d/b.xlsx#S") == "b_S"
+    assert split_entry("b.xlsx#S 1") == ("b.xlsx", "S 1") and entry_stem("d/b.xlsx#S 1") == "b__S_1"
 
 
 def test_vocabulary(spark, tmp_path):
