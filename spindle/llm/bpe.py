@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -20,7 +21,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 
-from spindle.llm._common import read_bytes, text_column
+from spindle.llm._common import read_bytes, slices, tidied
 from spindle.llm.pretokens import tokens_of
 
 NONE = np.int64(1) << 40
@@ -44,6 +45,7 @@ class ByteBPE:
         vocab: dict[str, int] = spec["model"]["vocab"]
         merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.marks = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))))
         size = max([*vocab.values(), *self.special.values()]) + 1
         self.token_bytes: list[bytes] = [b""] * size
         for text, i in vocab.items():
@@ -181,28 +183,21 @@ class ByteBPE:
         tokens, bounds = tokens_of(parts)
         self._learn(tokens)
         get, b = self.cache.__getitem__, bounds.tolist()
-        out: list[bytes] = [b""] * len(texts)
+        out: list[list[bytes]] = [[] for _ in texts]
         for i, (k, mark) in enumerate(owners):
-            own = b"".join(map(get, tokens[b[2 * i] : b[2 * i + 1]]))
+            out[k] += map(get, tokens[b[2 * i] : b[2 * i + 1]])
             if mark is not None:
-                own += int(mark).to_bytes(4, "little")
-            out[k] = out[k] + own if out[k] else own
-        return out
+                out[k].append(int(mark).to_bytes(4, "little"))
+        return [b"".join(own) for own in out]
 
     def _segments(self, text: str):
-        """Pieces of a text between special tokens, each with the id that follows it."""
-        if not any(s in text for s in self.special):
-            yield text, None
-            return
-        rest = text
-        while True:
-            found = [(p, -len(s), s) for s in self.special if (p := rest.find(s)) >= 0]
-            if not found:
-                yield rest, None
-                return
-            p, _, s = min(found)
-            yield rest[:p], self.special[s]
-            rest = rest[p + len(s) :]
+        """Pieces of a text between special tokens, each with the id that follows it.  Of
+        special tokens that begin at one place the longest counts."""
+        at = 0
+        for found in self.marks.finditer(text) if self.special else ():
+            yield text[at : found.start()], self.special[found.group()]
+            at = found.end()
+        yield text[at:], None
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids, special tokens kept; ids outside the vocabulary give nothing."""
@@ -231,19 +226,6 @@ def loaded(raw: bytes, kind: type = ByteBPE) -> ByteBPE:
     return kind(raw)
 
 
-def chunks(texts: list[str], most_chars: int = 400_000):
-    """Index ranges of about ``most_chars`` characters each, so that the working
-    memory does not follow the batch size (one text may be longer)."""
-    begin = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > most_chars:
-            yield begin, i
-            begin, size = i, 0
-        size += len(t)
-    if begin < len(texts):
-        yield begin, len(texts)
-
-
 def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col`` and ``ids array<int>`` of every whole text.  A null text counts as
     empty and gives no ids; repeated rows give repeated results."""
@@ -252,14 +234,13 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     def run(batches):
         bpe = loaded(raw.value)
         for batch in batches:
-            texts = text_column(batch, 1)
-            for a, b in chunks(texts):
-                out = [np.frombuffer(x, dtype="<u4").astype(np.int32) for x in bpe.encode_batch(texts[a:b])]
+            for at, texts in slices(batch, 1):
+                out = [np.frombuffer(x, dtype="<u4").astype(np.int32) for x in bpe.encode_batch(texts)]
                 ids = pa.array(out, type=pa.list_(pa.int32()))
-                yield pa.record_batch([batch.column(0).slice(a, b - a), ids], names=[id_col, "ids"])
+                yield pa.record_batch([batch.column(0).slice(at, len(texts)), ids], names=[id_col, "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
+    return docs.select(id_col, text_col).mapInArrow(tidied(run), f"`{id_col}` {kind}, ids array<int>")
 
 
 def decode(tokens: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -273,7 +254,7 @@ def decode(tokens: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col: s
             yield pa.record_batch([batch.column(0), pa.array(texts, pa.string())], names=[id_col, "text"])
 
     kind = tokens.schema[id_col].dataType.simpleString()
-    return tokens.select(id_col, ids_col).mapInArrow(run, f"`{id_col}` {kind}, text string")
+    return tokens.select(id_col, ids_col).mapInArrow(tidied(run), f"`{id_col}` {kind}, text string")
 
 
 def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -286,10 +267,9 @@ def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
         bpe = loaded(raw.value)
         number = [str(i) for i in range(bpe.base)].__getitem__
         for batch in batches:
-            texts = text_column(batch, 1)
             count, of_ids, of_text = [], [], []
-            for a, b in chunks(texts):
-                for encoded in bpe.encode_batch(texts[a:b]):
+            for _, texts in slices(batch, 1):
+                for encoded in bpe.encode_batch(texts):
                     ids = np.frombuffer(encoded, dtype="<u4").tolist()
                     count.append(len(ids))
                     of_ids.append(hashlib.sha256(",".join(map(number, ids)).encode()).hexdigest())
@@ -299,4 +279,4 @@ def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(tidied(run), schema)

@@ -10,8 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from spindle.llm import flac
-from spindle.llm._common import text_column
-from spindle.llm.bpe import chunks
+from spindle.llm._common import slices, tidied
 
 UNIT = 64
 
@@ -39,15 +38,13 @@ def to_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     def run(batches):
         for batch in batches:
-            texts = text_column(batch, 1)
-            for a, b in chunks(texts, flac.GROUP):
-                own = texts[a:b]
+            for at, own in slices(batch, 1, flac.GROUP):
                 sizes = [len(t.encode("utf-8", "surrogatepass")) for t in own]
                 media = flac.encode([payload(t) for t in own])
-                columns = [batch.column(0).slice(a, b - a), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())]
+                columns = [batch.column(0).slice(at, len(own)), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())]
                 yield pa.record_batch(columns, names=[id_col, "n_bytes", "media"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {_kind(docs, id_col)}, n_bytes long, media binary")
+    return docs.select(id_col, text_col).mapInArrow(tidied(run), f"`{id_col}` {_kind(docs, id_col)}, n_bytes long, media binary")
 
 
 def pcm_blocks(media: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
@@ -71,7 +68,7 @@ def pcm_blocks(media: DataFrame, id_col: str = "doc_id", media_col: str = "media
                 yield pa.record_batch(columns, names=[id_col, "block", "sample_offset", "pcm"])
 
     schema = f"`{id_col}` {_kind(media, id_col)}, block long, sample_offset long, pcm binary"
-    return media.select(id_col, media_col).mapInArrow(run, schema)
+    return media.select(id_col, media_col).mapInArrow(tidied(run), schema)
 
 
 def stored_and_read(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -83,9 +80,7 @@ def stored_and_read(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches):
         for batch in batches:
-            texts = text_column(batch, 1)
-            for a, b in chunks(texts, flac.GROUP // 2):
-                own = texts[a:b]
+            for at, own in slices(batch, 1, flac.GROUP // 2):
                 media = flac.encode([payload(t) for t in own])
                 rows = []
                 for t, stored, raw in zip(own, media, flac.decode(media)):
@@ -93,10 +88,10 @@ def stored_and_read(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     digest = hashlib.sha256(raw).hexdigest(), zlib.crc32(raw[-UNIT:])
                     rows.append((size, len(raw), *digest, len(stored), hashlib.sha256(stored).hexdigest(), features(raw)))
                 columns = [pa.array(c) for c in zip(*rows)]
-                yield pa.record_batch([batch.column(0).slice(a, b - a), *columns], names=names)
+                yield pa.record_batch([batch.column(0).slice(at, len(own)), *columns], names=names)
 
     schema = (
         f"`{id_col}` {_kind(docs, id_col)}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, "
         "media_bytes long, media_sha256 string, feature string"
     )
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(tidied(run), schema)

@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spindle.llm._common import materialize, read_bytes, text_column
-from spindle.llm.bpe import LibraryBPE, chunks, loaded
+from spindle.llm._common import materialize, read_bytes, slices, tidied
+from spindle.llm.bpe import LibraryBPE, loaded
 
 RANKS = np.int64(1) << 44
 
@@ -89,10 +89,9 @@ def pieces(
     def run(batches):
         bpe = loaded(raw.value, LibraryBPE)
         for batch in batches:
-            texts = text_column(batch, 1)
             rows: list[tuple[int, int, int, int, int]] = []
-            for a, b in chunks(texts):
-                for k, ids in enumerate(bpe.encode_batch(texts[a:b]), a):
+            for first, texts in slices(batch, 1):
+                for k, ids in enumerate(bpe.encode_batch(texts), first):
                     ids += end
                     n = len(ids) // 4
                     view = memoryview(ids)
@@ -105,7 +104,7 @@ def pieces(
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, start long, length long, ids_crc32 long, doc_tokens long"
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(tidied(run), schema)
 
 
 def ranked(df: DataFrame, length: str, ties: list[str]) -> DataFrame:
@@ -154,4 +153,4 @@ def pack(
     schema = f"`{id_col}` {kind}, " + ", ".join(
         f"{c} long" for c in (*names[1:], "sequence_id", "offset", "sequence_tokens", "padded_tokens")
     )
-    return ranked(cut, "length", [id_col, "start", "ids_crc32"]).select(*names, "rank").mapInArrow(place, schema)
+    return ranked(cut, "length", [id_col, "start", "ids_crc32"]).select(*names, "rank").mapInArrow(tidied(place), schema)

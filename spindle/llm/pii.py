@@ -11,14 +11,18 @@ from __future__ import annotations
 
 import datetime
 import hashlib
+import heapq
 import re
 from collections.abc import Callable
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from spindle.llm._common import slices, tidied
+
 ROUNDS = 8
 DAYS = (datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal())
 KINDS = ("email", "card", "phone", "ip", "date", "ssn", "iban", "secret")
@@ -242,22 +246,28 @@ class Pseudonymizer:
         return self.cache[at]
 
     def text(self, text: str) -> tuple[str, dict[str, int]]:
-        """The text with pseudonyms, and how many of each kind it had."""
+        """The text with pseudonyms, and how many of each kind it had.  A match that overlaps
+        a value that an earlier pattern took is none."""
         counts: dict[str, int] = {}
-        spans: list[tuple[int, int, str]] = []
+        spans: list[tuple[int, int, str]] = []  # in order; they do not overlap
         for kind, pattern, make in _compiled():
+            found, at = [], 0
             for m in pattern.finditer(text):
                 a, b = m.span()
-                if any(a < e and s < b for s, e, _ in spans):
+                while at < len(spans) and spans[at][1] <= a:
+                    at += 1
+                if at < len(spans) and spans[at][0] < b:
                     continue
                 new = self.value(kind, m.group(), make)
                 if new is not None:
-                    spans.append((a, b, new))
-                    counts[kind] = counts.get(kind, 0) + 1
+                    found.append((a, b, new))
+            if found:
+                counts[kind] = counts.get(kind, 0) + len(found)
+                spans = list(heapq.merge(spans, found))
         if not spans:
             return text, counts
         out, at = [], 0
-        for a, b, new in sorted(spans):
+        for a, b, new in spans:
             out += [text[at:a], new]
             at = b
         return "".join([*out, text[at:]]), counts
@@ -266,7 +276,8 @@ class Pseudonymizer:
 def pseudonymized(docs: DataFrame, key: bytes, text_col: str = "text", counts: bool = False) -> DataFrame:
     """All columns of ``docs`` with the values in ``text_col`` replaced.
 
-    A null text stays null, an empty one empty; repeated rows stay alike.  With
+    A null text stays null, an empty one empty; repeated rows stay alike; an empty table
+    gives an empty one.  Time grows with the length of a text and of its values.  With
     ``counts``, columns ``n_<kind>`` follow; columns of these names are replaced."""
     extra = [f"n_{k}" for k in KINDS] if counts else []
     docs = docs.drop(*extra)
@@ -275,11 +286,15 @@ def pseudonymized(docs: DataFrame, key: bytes, text_col: str = "text", counts: b
     def run(batches):
         own = Pseudonymizer(key)
         for batch in batches:
-            done = [(None, {}) if t is None else own.text(t) for t in batch.column(at).to_pylist()]
-            columns = list(batch.columns)
-            columns[at] = pa.array([t for t, _ in done], type=batch.schema.field(at).type)
-            columns += [pa.array([c.get(k, 0) for _, c in done], pa.int64()) for k in KINDS[: len(extra)]]
-            yield pa.record_batch(columns, names=[*batch.schema.names, *extra])
+            valid = batch.column(at).is_valid()
+            for first, texts in slices(batch, at):
+                here = batch.slice(first, len(texts))
+                done = [own.text(t) for t in texts]
+                new = pa.array([t for t, _ in done], type=batch.schema.field(at).type)
+                columns = list(here.columns)
+                columns[at] = pc.if_else(valid.slice(first, len(texts)), new, pa.scalar(None, new.type))
+                columns += [pa.array([c.get(k, 0) for _, c in done], pa.int64()) for k in KINDS[: len(extra)]]
+                yield pa.record_batch(columns, names=[*batch.schema.names, *extra])
 
     schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.LongType()) for n in extra)])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidied(run), schema)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spindle.llm._common import text_column
+from spindle.llm._common import slices, tidied
 from spindle.llm.training import in_fold, labelled_sample
 
 EMBED, STRIDE, FILTERS, HIDDEN = 6, 4, 24, 16
@@ -203,10 +203,10 @@ def scored(docs: DataFrame, net: QualityNet, column: str = "score", text_col: st
     def run(batches):
         own = shared.value
         for batch in batches:
-            scores = [own.score(t) for t in text_column(batch, at)]
+            scores = [own.score(t) for _, texts in slices(batch, at) for t in texts]
             yield pa.record_batch([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, column])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
+    return docs.mapInArrow(tidied(run), T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
 
 
 def kept(docs: DataFrame, model: QualityNet, threshold: float, text_col: str = "text") -> DataFrame:
@@ -217,9 +217,9 @@ def kept(docs: DataFrame, model: QualityNet, threshold: float, text_col: str = "
     def run(batches):
         own = shared.value
         for batch in batches:
-            yield batch.filter(pa.array([own.score(t) >= threshold for t in text_column(batch, at)], pa.bool_()))
+            yield batch.filter(pa.array([own.score(t) >= threshold for _, texts in slices(batch, at) for t in texts], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)
 
 
 def predictions(

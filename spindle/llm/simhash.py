@@ -14,7 +14,7 @@ and works row by row.
 
 from __future__ import annotations
 
-import random
+from collections.abc import Iterable
 from itertools import combinations
 
 import numpy as np
@@ -23,44 +23,47 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spindle.llm._common import materialize, text_column
+from spindle.llm._common import materialize, slices, small, tidied
 from spindle.llm.components import components
-from spindle.llm.similar import node, shingles, similar_components
+from spindle.llm.similar import PIECE, Frequencies, frequencies, node, shingles, similar_components, word_pieces
 
 BLOCKS = 6
 MOST = 20_000
 
 
-def fingerprint(text: str, words: int = 3, seed: int = 42, step: int = 1 << 16) -> int:
-    """The fingerprint of one text as a signed 64-bit number; no words give 0."""
-    parts = text.encode("utf-8", "surrogatepass").lower().split()
-    if not parts:
-        return 0
-    if len(parts) <= words:
-        shingles = iter([b" ".join(parts)])
-    else:
-        shingles = map(b" ".join, zip(*(parts[i:] for i in range(words))))
-    total, seen = np.zeros(64, dtype=np.int64), 0
-    hashed = xxhash.xxh64_intdigest
-    n = max(1, len(parts) - words + 1)
-    while seen < n:
-        size = min(step, n - seen)
-        h = np.fromiter((hashed(s, seed) for _, s in zip(range(size), shingles)), dtype="<u8", count=size)
-        total += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        seen += size
+def fingerprint(text: str, words: int = 3, seed: int = 42, piece: int = PIECE) -> int:
+    """The fingerprint of one text as a signed 64-bit number; no words give 0.  A text is
+    read in pieces, so memory does not follow its length."""
+    total, n, last = np.zeros(64, dtype=np.int64), 0, []
+    for part in word_pieces(text, piece):
+        parts = [*last, *part]
+        if len(parts) >= words:
+            n += _add_bits(total, map(b" ".join, zip(*(parts[i:] for i in range(words)))), len(parts) - words + 1, seed)
+        last = parts[-(words - 1) :] if words > 1 else []
+    if not n and last:
+        n = _add_bits(total, [b" ".join(last)], 1, seed)
     return int(np.packbits(2 * total > n, bitorder="little").view("<i8")[0])
 
 
+def _add_bits(total: np.ndarray, shingles: Iterable[bytes], n: int, seed: int) -> int:
+    h = np.fromiter((xxhash.xxh64_intdigest(s, seed) for s in shingles), dtype="<u8", count=n)
+    for at in range(0, n, 1 << 15):
+        bits = np.unpackbits(h[at : at + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        total += bits.sum(axis=0, dtype=np.int64)
+    return n
+
+
 def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, fp`` of every whole text; a null text counts as empty."""
 
     def run(batches):
         for batch in batches:
-            fps = [fingerprint(t, words) for t in text_column(batch, 1)]
-            yield pa.record_batch([batch.column(0), pa.array(fps, pa.int64())], names=[id_col, "fp"])
+            for at, texts in slices(batch, 1):
+                fps = pa.array([fingerprint(t, words) for t in texts], pa.int64())
+                yield pa.record_batch([batch.column(0).slice(at, len(texts)), fps], names=[id_col, "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, fp long")
+    return docs.select(id_col, text_col).mapInArrow(tidied(run), f"`{id_col}` {kind}, fp long")
 
 
 def block_masks(blocks: int, agree: int) -> list[int]:
@@ -171,7 +174,7 @@ def near_links(fps: DataFrame, distance: int = 3, blocks: int = BLOCKS, most: in
     keyed = fps.select("fp").distinct().select(F.explode(one).alias("k"), "fp").select("k.mask", "k.key", "fp")
     parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = keyed.repartition(parts, "mask", "key").sortWithinPartitions("mask", "key", "fp")
-    found = materialize(dealt.mapInArrow(_linked(distance, most), "a long, b long, mask long"), "links")
+    found = materialize(dealt.mapInArrow(tidied(_linked(distance, most)), "a long, b long, mask long"), "links")
     links, large = found.where("mask is null").select("a", "b"), found.where("mask is not null")
     if not large.isEmpty():
         links = links.unionByName(midpoint_links(large.select(F.col("a").alias("fp")), distance))
@@ -185,7 +188,8 @@ def near_duplicates(
 
     Documents whose fingerprints differ in at most ``distance`` bits are linked; the
     component is named by its smallest id.  Empty and null texts have fingerprint 0 and
-    are linked like others; repeated rows keep one result row each."""
+    are linked like others; repeated rows keep one result row each; an empty table gives
+    none.  Texts are read in pieces, so memory does not follow their length."""
     own = materialize(fingerprints(docs, words, id_col, text_col), "fingerprints")
     least = own.groupBy("fp").agg(F.min(id_col).alias("least"))
     linked = least.join(components(near_links(own, distance)).withColumnRenamed("node", "fp"), "fp")
@@ -196,176 +200,31 @@ def near_duplicates(
     return own.join(by_fp, "fp").select(id_col, "fp", "component_id")
 
 
-# --- similar texts: five-word shingles at a similarity of 0.8 ----------------------------
-#
-# Texts whose five-word shingles have a Jaccard similarity of 0.8 differ in about 15 % of
-# the bits of a SimHash of these shingles, too many for keys that all close pairs are sure
-# to share.  One changed word changes five shingles, though, and only one word, so a
-# SimHash of the *distinct words* differs in about 7 % of its bits.  Keys are therefore
-# blocks of KEY_BITS bits of a 256-bit SimHash of the words, TABLES of them: a pair at the
-# limit shares one with probability 1 - (1 - 0.93 ** 28) ** 28 = 0.98, closer pairs more
-# often.  Candidates are verified by the Hamming distance of 512-bit SimHashes of the
-# five-word shingles; copies are one candidate.
-
-WORD_BITS, CODE_BITS, KEY_BITS, TABLES = 256, 512, 28, 28
-MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
-
-
-def _signs(hashes: np.ndarray, bits: int, step: int = 2048) -> np.ndarray:
-    """Majority bits of ``bits`` derived bits of each hash, as little-endian words."""
-    total, lanes = np.zeros(bits, dtype=np.int64), np.arange(1, bits // 64 + 1, dtype=np.uint64)
-    for at in range(0, len(hashes), step):
-        h = hashes[at : at + step, None] + lanes * MIX[0]
-        for k, m in enumerate(MIX[1:]):
-            h = (h ^ h >> np.uint64(29 + k)) * m
-        h ^= h >> np.uint64(32)
-        total += np.unpackbits(h.astype("<u8").view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * total > len(hashes), bitorder="little").view("<i8")
-
-
-def codes(text: str, words: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """SimHashes of a text's distinct words and of its distinct shingles; zeros without words."""
-    parts = text.encode("utf-8", "surrogatepass").lower().split()
-    if not parts:
-        return np.zeros(WORD_BITS // 64, np.int64), np.zeros(CODE_BITS // 64, np.int64)
-    hashed = xxhash.xxh64_intdigest
-    each = set(map(b" ".join, zip(*(parts[i:] for i in range(words))))) if len(parts) >= words else {b" ".join(parts)}
-    own = set(parts)
-    w = np.fromiter(map(hashed, own), dtype=np.uint64, count=len(own))
-    s = np.fromiter(map(hashed, each), dtype=np.uint64, count=len(each))
-    return _signs(w, WORD_BITS), _signs(s, CODE_BITS)
-
-
-def most_bits(similarity: float) -> int:
-    """Differing bits of codes of texts with this similarity: the mean, for shingle sets
-    of one size."""
-    cosine = 2 * similarity / (1 + similarity)
-    return int(round(CODE_BITS * np.arccos(cosine) / np.pi))
-
-
-def sketches(docs: DataFrame, words: int, similar_words: int, id_col: str, text_col: str) -> DataFrame:
-    """``id, fp, word (4 numbers), code (64 bytes)`` of every whole text."""
-
-    def run(batches):
-        for batch in batches:
-            texts = text_column(batch, 1)
-            fps = [fingerprint(t, words) for t in texts]
-            pairs = [codes(t, similar_words) for t in texts]
-            word = pa.array([a.tolist() for a, _ in pairs], pa.list_(pa.int64()))
-            code = pa.array([b.tobytes() for _, b in pairs], pa.binary())
-            yield pa.record_batch([batch.column(0), pa.array(fps, pa.int64()), word, code], names=["id", "fp", "word", "code"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, fp long, word array<long>, code binary")
-
-
-def table_keys(tables: int = TABLES, bits: int = KEY_BITS, seed: int = 11) -> list[F.Column]:
-    """A key per table: the table's choice of bits of ``word``, hashed."""
-    rng, out, lanes = random.Random(seed), [], WORD_BITS // 64
-    for t in range(tables):
-        chosen = rng.sample(range(WORD_BITS), bits)
-        masks = [sum(1 << b % 64 for b in chosen if b // 64 == lane) for lane in range(lanes)]
-        masks = [m - (1 << 64) if m >> 63 else m for m in masks]
-        parts = [F.col("word")[i].bitwiseAND(F.lit(m).cast("long")) for i, m in enumerate(masks)]
-        out.append(F.xxhash64(F.lit(t), *parts))
-    return out
-
-
-def similar_links(own: DataFrame, bits: int, most: int = MOST) -> DataFrame:
-    """Links ``a, b`` between ids of ``own(id, word, code)`` whose codes differ in at most
-    ``bits`` bits and whose words share a key; a spanning forest per key.
-
-    No task holds more than about ``most`` codes: larger keys are passed on, cut into
-    parts, and linked part against part."""
-    parts = int(own.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    deal = lambda df: df.repartition(parts, "key").sortWithinPartitions("key")
-    kind = "a long, b long, key long"
-    keyed = own.select(F.explode(F.array(*table_keys())).alias("key"), "id", "code")
-    found = materialize(deal(keyed).mapInArrow(_coded(bits, most), kind), "similar")
-    links, large = found.where("key is null").select("a", "b"), found.where("key is not null").select("key", F.col("a").alias("id"))
-    if large.isEmpty():
-        return links
-    sizes = large.groupBy("key").agg(F.ceil(F.count("*") * 2 / F.lit(most)).alias("cuts"))
-    rows = large.join(sizes, "key").join(own.select("id", "code"), "id").withColumn("cut", F.pmod(F.xxhash64("id"), F.col("cuts")))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)))
-    both = F.xxhash64("key", F.least("cut", "other"), F.greatest("cut", "other"))
-    rest = deal(rows.select(both.alias("key"), "id", "code")).mapInArrow(_coded(bits, None), kind)
-    return links.unionByName(rest.select("a", "b"))
-
-
-def _coded(bits: int, most: int | None):
-    """Partitions sorted by key: links as (a, b, null), and the members of keys with more
-    than ``most`` codes as (id, null, key)."""
-
-    def run(batches):
-        lanes = CODE_BITS // 64
-        held, over = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, lanes), np.uint64)), None
-        for batch in batches:
-            raw = b"".join(batch.column(2).to_pylist())
-            new = batch.column(0).to_numpy(), batch.column(1).to_numpy(), np.frombuffer(raw, dtype="<u8").reshape(-1, lanes)
-            key, ids, code = (np.concatenate(x) for x in zip(held, new))
-            out: list[tuple[int, int | None, int | None]] = []
-            if over is not None:
-                same = key == over
-                out += [(int(i), None, over) for i in ids[same]]
-                key, ids, code = key[~same], ids[~same], code[~same]
-                over = None if len(key) else over
-            cut = np.flatnonzero(key[1:] != key[:-1]) + 1
-            last = int(cut[-1]) if len(cut) else 0
-            out += [(a, b, None) for a, b in _code_links(key[:last], ids[:last], code[:last], bits)]
-            held = key[last:], ids[last:], code[last:]
-            if most is not None and len(held[0]) > most:
-                over = int(held[0][0])
-                out += [(int(i), None, over) for i in held[1]]
-                held = tuple(x[:0] for x in held)
-            if out:
-                yield _three(out)
-        if links := _code_links(*held, bits):
-            yield _three([(a, b, None) for a, b in links])
-
-    return run
-
-
-def _three(rows) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows)], names=["a", "b", "key"])
-
-
-def _code_links(key: np.ndarray, ids: np.ndarray, code: np.ndarray, bits: int) -> list[tuple[int, int]]:
-    if len(ids) < 2:
-        return []
-    cut = np.flatnonzero(key[1:] != key[:-1]) + 1
-    begin, end = np.concatenate(([0], cut)), np.concatenate((cut, [len(ids)]))
-    size = end - begin
-    pair = begin[size == 2]
-    near = pair[np.bitwise_count(code[pair] ^ code[pair + 1]).sum(axis=1) <= bits]
-    links = list(zip(ids[near].tolist(), ids[near + 1].tolist()))
-    for a, b in zip(begin[size > 2].tolist(), end[size > 2].tolist()):
-        rest, front = np.arange(a + 1, b), [a]
-        while len(rest):
-            if not front:
-                front, rest = [int(rest[0])], rest[1:]
-                continue
-            at = front.pop()
-            close = np.bitwise_count(code[rest] ^ code[at]).sum(axis=1) <= bits
-            found = rest[close]
-            links.extend((int(ids[at]), int(i)) for i in ids[found])
-            front.extend(found.tolist())
-            rest = rest[~close]
-    return links
+# --- one text of each group ---------------------------------------------------------------
 
 
 def named(docs: DataFrame, words: int, similar_words: int, id_col: str, text_col: str) -> DataFrame:
-    """``id, fp, node`` of every whole text; texts with one set of shingles are one node."""
+    """``id, fp, node`` of every whole text (texts with one set of shingles are one node), and
+    in rows with a ``chunk`` the tables of each task's frequencies of shingles."""
+    names = ["id", "fp", "node", "chunk", "counts"]
 
     def run(batches):
+        seen, kind = Frequencies(), None
         for batch in batches:
-            texts = text_column(batch, 1)
-            fps = pa.array([fingerprint(t, words) for t in texts], pa.int64())
-            nodes = pa.array([node(shingles(t, similar_words)) for t in texts], pa.int64())
-            yield pa.record_batch([batch.column(0), fps, nodes], names=["id", "fp", "node"])
+            kind = batch.schema.field(0).type
+            for at, texts in slices(batch, 1):
+                sets = [shingles(t, similar_words) for t in texts]
+                seen.add(sets)
+                fps = pa.array([fingerprint(t, words) for t in texts], pa.int64())
+                nothing = [pa.nulls(len(texts), pa.int32()), pa.nulls(len(texts), pa.binary())]
+                yield pa.record_batch([batch.column(0).slice(at, len(texts)), fps, pa.array(list(map(node, sets)), pa.int64()), *nothing], names=names)
+        if kind is not None:
+            counts = seen.chunks()
+            nothing = [pa.nulls(len(counts), t) for t in (kind, pa.int64(), pa.int64())]
+            yield pa.record_batch([*nothing, pa.array(range(len(counts)), pa.int32()), pa.array(counts, pa.binary())], names=names)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, fp long, node long")
+    return docs.select(id_col, text_col).mapInArrow(tidied(run), f"id {kind}, fp long, node long, chunk int, counts binary")
 
 
 def deduplicated(
@@ -374,23 +233,26 @@ def deduplicated(
 ) -> DataFrame:
     """One row of each group of near-duplicates, all columns unchanged: the row with the
     group's smallest id; of rows that repeat it, one stays.  Rows with a null id name no
-    group and stay.
+    group and stay.  An empty table gives an empty one; texts are read in pieces, whatever
+    their length.
 
     Groups are the components of all links between different texts: fingerprints within
     ``distance`` bits, and texts with ``similarity`` of shingles of ``similar_words`` words
     at least (:mod:`spindle.llm.similar`).  Ids are whole numbers."""
-    own = materialize(named(docs, words, similar_words, id_col, text_col), "named")
-    known = own.where("id is not null")
+    found = materialize(named(docs, words, similar_words, id_col, text_col), "named")
+    known = found.where("chunk is null and id is not null").select("id", "fp", "node")
+    often = frequencies(found.where("chunk is not null"))
     by_fp = known.groupBy("fp").agg(F.min("node").alias("a"))
     same = known.select("fp", F.col("node").alias("b")).distinct().join(by_fp, "fp").select("a", "b")
     near = near_links(known, distance)
     near = near.join(by_fp.select(F.col("fp").alias("a"), F.col("a").alias("x")), "a").join(by_fp.select(F.col("fp").alias("b"), F.col("a").alias("y")), "b")
     edges = materialize(same.unionByName(near.select(F.col("x").alias("a"), F.col("y").alias("b"))).where("a <> b"), "edges")
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    found = similar_components(texts, known, edges, similar_words, similarity, MOST)
-    least = known.groupBy("node").agg(F.min("id").alias("id")).join(found, "node", "left")
+    roots = similar_components(texts, known, often, edges, similar_words, similarity, MOST)
+    least = known.groupBy("node").agg(F.min("id").alias("id")).join(roots, "node", "left")
     kept = materialize(least.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("id").alias("id")).select("id").distinct(), "kept")
     dropped = known.select("id").distinct().join(kept, "id", "left_anti").select(F.col("id").alias("_dropped"))
+    dropped = small(materialize(dropped, "dropped"))
     left = docs.join(dropped, docs[id_col] == dropped["_dropped"], "left_anti")
     if not known.groupBy("id").count().where("count > 1").isEmpty():
         left = left.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(left.where(F.col(id_col).isNull()))

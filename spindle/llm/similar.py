@@ -4,37 +4,74 @@ Of two sets with a Jaccard similarity of at least t, each holds at least ``ceil(
 the other's members, ``n`` its own size.  In any order of all shingles, then, the first
 ``n - ceil(t * n) + 1`` shingles of the one and of the other have one in common, whatever
 the shape of the edits.  These are the keys; every candidate is verified by the true overlap
-of the whole texts.  Shingles that a sample of the texts finds common come last in the
-order, which keeps groups small and changes no result.
+of the whole texts.
 
-A group of a key gives the pairs with its smallest member first.  Pairs of members that are
-still in different components after these are verified follow.
+The order is by frequency, the rarest first, which keeps groups small and changes no result.
+Frequencies are those of all texts, counted in a table of fixed size (``BUCKETS``).
+
+Each task links the texts that share a key among its own rows to the smallest of them, its
+hub, and only hubs are shuffled, so that a key that very many texts share is a few rows of
+each task.  The hubs of a key are linked to the smallest of them.  Members of a key that are
+still in different components once these pairs are verified are compared pair by pair, and
+a large component's members never among themselves.
 """
 
 from __future__ import annotations
 
 import math
+import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spindle.llm._common import materialize, text_column
+from spindle.llm._common import materialize, slices, small, tidied
 from spindle.llm.components import components
 
-SAMPLE, COMMON, COMMON_KEPT = 16, 4, 100_000  # for the order of shingles only
-MOST = 20_000
-
-
-def shingles(text: str, words: int = 5) -> np.ndarray:
-    """Sorted hashes of a text's distinct shingles; none without words."""
-    parts = text.encode("utf-8", "surrogatepass").lower().split()
-    if not parts:
-        return np.zeros(0, np.uint64)
-    each = set(map(b" ".join, zip(*(parts[i:] for i in range(words))))) if len(parts) >= words else {b" ".join(parts)}
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, each), dtype=np.uint64, count=len(each)))
+BUCKETS, CHUNKS = 1 << 18, 64  # of the table of frequencies
+MOST = 20_000  # rows of a key that one task compares, about
+KEYS = 1_000_000  # keys that a task holds
+PIECE = 1 << 18  # bytes of a text that are split into words at one time
+BLANK = re.compile(rb"[\x20\x09-\x0d]")
+MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
+
+
+def word_pieces(text: str, piece: int = PIECE) -> Iterator[list[bytes]]:
+    """The words of a text, A-Z lowered, in lists of about ``piece`` bytes."""
+    raw, at = text.encode("utf-8", "surrogatepass"), 0
+    while at < len(raw):
+        cut = BLANK.search(raw, at + piece) if at + piece < len(raw) else None
+        end = cut.start() if cut else len(raw)
+        yield raw[at:end].lower().split()
+        at = end
+
+
+def runs(h: np.ndarray, words: int) -> np.ndarray:
+    """Hashes of all runs of ``words`` words, from the hashes of the words."""
+    n = len(h) - words + 1
+    out = np.zeros(n, np.uint64)
+    for j in range(words):
+        out = (out ^ out >> np.uint64(29)) * MIX[0] + h[j : j + n]
+    out = (out ^ out >> np.uint64(32)) * MIX[1]
+    return out ^ out >> np.uint64(29)
+
+
+def shingles(text: str, words: int = 5, piece: int = PIECE) -> np.ndarray:
+    """Sorted 64-bit hashes of a text's distinct shingles; none without words, and the whole
+    text as one where it has fewer words than a shingle."""
+    found, last = [], np.zeros(0, np.uint64)
+    for part in word_pieces(text, piece):
+        h = np.fromiter(map(xxhash.xxh64_intdigest, part), dtype=np.uint64, count=len(part))
+        h = np.concatenate((last, h))
+        if len(h) >= words:
+            found.append(np.unique(runs(h, words)))
+        last = h[-(words - 1) :] if words > 1 else h[:0]
+    if not found:
+        return runs(last, len(last)) if len(last) else last
+    return np.unique(np.concatenate(found)) if len(found) > 1 else found[0]
 
 
 def node(hashes: np.ndarray) -> int:
@@ -43,60 +80,125 @@ def node(hashes: np.ndarray) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def prefix(hashes: np.ndarray, common: np.ndarray, rank: np.ndarray, similarity: float) -> np.ndarray:
-    """The first shingles in the order: rare ones by hash, then the ``common`` by ``rank``."""
-    size = len(hashes) - math.ceil(similarity * len(hashes) - 1e-9) + 1
-    if len(common):
-        at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
-        hashes = hashes[np.lexsort((hashes, np.where(common[at] == hashes, rank[at], 0)))]
-    return hashes[:size]
+# --- the order of shingles ----------------------------------------------------------------
+
+
+def bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - 18)).astype(np.int64)
+
+
+class Frequencies:
+    """How often shingles fall into each bucket, of one task."""
+
+    def __init__(self):
+        self.table = np.zeros(BUCKETS, np.int64)
+
+    def add(self, sets: list[np.ndarray]) -> None:
+        if sets:
+            self.table += np.bincount(bucket(np.concatenate(sets)), minlength=BUCKETS)
+
+    def chunks(self) -> list[bytes]:
+        return [c.tobytes() for c in np.split(self.table, CHUNKS)]
 
 
-def common_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes that a sample of ``docs(id, text)`` holds often, and how often."""
+def frequencies(rows: DataFrame) -> np.ndarray:
+    """The sum of all tasks' tables ``rows(chunk, counts)``: ``BUCKETS`` numbers."""
 
     def run(batches):
+        total: dict[int, np.ndarray] = {}
         for batch in batches:
-            for t in text_column(batch, 0):
-                yield pa.record_batch([pa.array(shingles(t, words).view(np.int64))], names=["h"])
+            for chunk, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = np.frombuffer(raw.as_buffer(), np.int64)
+                total[chunk] = total[chunk] + own if chunk in total else own
+        if total:
+            raw = pa.array([t.tobytes() for t in total.values()], pa.binary())
+            yield pa.record_batch([pa.array(list(total), pa.int32()), raw], names=["chunk", "counts"])
+
+    kind = "chunk int, counts binary"
+    sums = rows.select("chunk", "counts").repartition(CHUNKS, "chunk").mapInArrow(tidied(run), kind)
+    out = np.zeros((CHUNKS, BUCKETS // CHUNKS), np.int64)
+    for r in sums.collect():  # one row per chunk
+        out[r["chunk"]] += np.frombuffer(r["counts"], np.int64)
+    return out.ravel()
+
+
+def prefix(hashes: np.ndarray, often: np.ndarray, similarity: float) -> np.ndarray:
+    """The first shingles of a set in the order: by their bucket's frequency, then by hash."""
+    size = len(hashes) - math.ceil(similarity * len(hashes) - 1e-9) + 1
+    return hashes[np.argsort(often[bucket(hashes)], kind="stable")[:size]]
+
+
+def can_be_similar(n, pos, other_n, other_pos, similarity: float):
+    """Whether sets of these sizes whose first common shingle stands at these places can have
+    the similarity; of numbers, arrays or columns."""
+    least, greatest = (F.least, F.greatest) if isinstance(n, Column) else (np.minimum, np.maximum)
+    sizes = least(n, other_n) >= similarity * greatest(n, other_n) - 1e-6
+    return sizes & (least(n - pos, other_n - other_pos) * (1 + similarity) >= similarity * (n + other_n) - 1e-6)
+
+
+# --- keys ---------------------------------------------------------------------------------
+
+KEYED = "key long, node long, n int, pos int, hub long, flag boolean"
 
-    some = docs.where(F.pmod(F.xxhash64("id"), F.lit(SAMPLE)) == 0).select("text").mapInArrow(run, "h long")
-    often = some.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON)
-    rows = often.orderBy(F.desc("n"), "h").limit(COMMON_KEPT).collect()
-    hashes = np.array([r["h"] for r in rows], dtype=np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    return hashes[order], np.array([r["n"] for r in rows], dtype=np.int64)[order]
 
+def keyed(docs: DataFrame, often: np.ndarray, words: int, similarity: float, keys: int = KEYS) -> DataFrame:
+    """The prefixes of ``docs(text)``: ``key, node, n (the set's size), pos (the key's place)``.
 
-def keyed(docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """``key, node, n, pos``: the prefix of each of ``docs(id, text)``, its size and places."""
-    shared = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, words))
+    Of the rows of a key that a task holds at one time, ``hub`` is null in that of the smallest
+    node, and ``flag`` tells whether there are others; these have the smallest node as ``hub``,
+    and ``flag`` tells whether the two can be similar."""
+    shared = docs.sparkSession.sparkContext.broadcast(often)
 
     def run(batches):
-        common, rank = shared.value
+        order, held, sets, seen = shared.value, [], [], set()
         for batch in batches:
-            keys, rows, held = [], [], 0
-            for t in text_column(batch, 0):
-                own = shingles(t, words)
-                if not len(own):
-                    continue
-                keys.append(prefix(own, common, rank, similarity))
-                rows.append((node(own), len(own), len(keys[-1])))
-                held += rows[-1][2]
-                if held > 100_000:
-                    yield _keys(keys, rows)
-                    keys, rows, held = [], [], 0
-            if rows:
-                yield _keys(keys, rows)
-
-    return docs.select("text").mapInArrow(run, "key long, node long, n int, pos int")
-
-
-def _keys(keys: list[np.ndarray], rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
-    nodes, sizes, each = (np.array(c, dtype=np.int64) for c in zip(*rows))
-    pos = np.concatenate([np.arange(k, dtype=np.int32) for k in each])
-    columns = [np.concatenate(keys).view(np.int64), np.repeat(nodes, each), np.repeat(sizes, each).astype(np.int32), pos]
-    return pa.record_batch([pa.array(c) for c in columns], names=["key", "node", "n", "pos"])
+            for _, texts in slices(batch, 0):
+                for t in texts:
+                    own = shingles(t, words)
+                    name = node(own)
+                    if len(own) and name not in seen:
+                        seen.add(name)
+                        held.append(prefix(own, order, similarity))
+                        sets.append((name, len(own), len(held[-1])))
+                if sum(s[2] for s in sets) >= keys:
+                    yield _hubs(held, sets, similarity)
+                    held, sets, seen = [], [], set()
+        if sets:
+            yield _hubs(held, sets, similarity)
+
+    return docs.select("text").mapInArrow(tidied(run), KEYED)
+
+
+def _hubs(keys: list[np.ndarray], sets: list[tuple[int, int, int]], similarity: float) -> pa.RecordBatch:
+    nodes, sizes, each = (np.array(c, dtype=np.int64) for c in zip(*sets))
+    key = np.concatenate(keys).view(np.int64)
+    own, n = np.repeat(nodes, each), np.repeat(sizes, each)
+    pos = np.concatenate([np.arange(k) for k in each])
+    by = np.lexsort((own, key))
+    key, own, n, pos = key[by], own[by], n[by], pos[by]
+    first = np.concatenate(([True], key[1:] != key[:-1]))
+    at = np.flatnonzero(first)[np.cumsum(first) - 1]  # of each row its hub's
+    flag = can_be_similar(n, pos, n[at], pos[at], similarity)
+    flag[first] = np.diff(np.append(np.flatnonzero(first), len(key))) > 1
+    columns = [key, own, n.astype(np.int32), pos.astype(np.int32)]
+    hub = pa.array(own[at], mask=first)
+    return pa.record_batch([*map(pa.array, columns), hub, pa.array(flag)], names=["key", "node", "n", "pos", "hub", "flag"])
+
+
+def shared_keys(own: DataFrame) -> DataFrame:
+    """Of the hubs in :func:`keyed`, those whose key has another row, with the key's smallest
+    hub ``a``, its ``an`` and ``apos``; one shuffle."""
+    along = Window.partitionBy("key").orderBy("node")
+    hubs = own.where("hub is null").select(
+        "key", "node", "n", "pos", "flag", F.lag("node").over(along).alias("before"), F.lead("node").over(along).alias("after"),
+        *(F.first(c).over(along.rowsBetween(Window.unboundedPreceding, 0)).alias(a) for c, a in (("node", "a"), ("n", "an"), ("pos", "apos"))),
+    )
+    # A node that several tasks had counts once.
+    hubs = hubs.where("(before is null or before <> node) and (before is not null or after is not null or flag)")
+    return hubs.select("key", "node", "n", "pos", "a", "an", "apos")
+
+
+# --- verification -------------------------------------------------------------------------
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -113,7 +215,7 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
     one = lambda c: sets.select(F.col("node").alias(c), F.col("hashes").alias(f"{c}_set"))
     both = pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", "a_set", "b_set")
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(tidied(run), "a long, b long")
 
 
 def sets_of(docs: DataFrame, known: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
@@ -121,84 +223,109 @@ def sets_of(docs: DataFrame, known: DataFrame, pairs: DataFrame, words: int) ->
 
     def run(batches):
         for batch in batches:
-            for t in text_column(batch, 0):
-                own = shingles(t, words)
-                yield pa.record_batch([pa.array([node(own)], pa.int64()), pa.array([own.tobytes()], pa.binary())], names=["node", "hashes"])
+            for _, texts in slices(batch, 0):
+                each = [shingles(t, words) for t in texts]
+                nodes, raw = pa.array(list(map(node, each)), pa.int64()), pa.array([e.tobytes() for e in each], pa.binary())
+                yield pa.record_batch([nodes, raw], names=["node", "hashes"])
 
-    need = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    need = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     ids = known.groupBy("node").agg(F.min("id").alias("id")).join(need, "node", "left_semi").select("id").distinct()
-    found = docs.join(ids, "id", "left_semi").select("text").mapInArrow(run, "node long, hashes binary")
+    found = docs.join(small(materialize(ids, "ids")), "id", "left_semi").select("text").mapInArrow(tidied(run), "node long, hashes binary")
     return materialize(found.dropDuplicates(["node"]), "sets")
 
 
+# --- members of a key in different components ---------------------------------------------
+
+
+def cells(members: DataFrame, most: int) -> DataFrame:
+    """``cell, node, n, pos, root`` of ``members(key, node, n, pos, root)``: any two members of
+    a key with different roots meet in a cell, and no cell has more than about ``most`` rows.
+
+    A key's largest component is cut into blocks, the others together into other blocks; each
+    block of the ones meets each of the others, and these meet among themselves."""
+    sizes = members.groupBy("key", "root").agg(F.count("*").alias("size"))
+    mixed = sizes.groupBy("key").agg(
+        F.max_by("root", F.struct("size", "root")).alias("top"), F.max("size").alias("most"), F.sum("size").alias("all"), F.count("*").alias("roots"),
+    )
+    cut = lambda c: F.ceil(c * 2 / F.lit(most))
+    mixed = mixed.where("roots > 1").select("key", "top", cut(F.col("most")).alias("tops"), cut(F.col("all") - F.col("most")).alias("rests"))
+    rows = members.join(mixed, "key")
+    top = F.col("root") == F.col("top")
+    block = F.pmod(F.xxhash64("node"), F.when(top, F.col("tops")).otherwise(F.col("rests")))
+    upto = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
+    name = lambda kind, a, b: F.xxhash64("key", F.lit(kind), a, b)
+    tops = F.transform(upto("rests"), lambda j: name(0, block, j))
+    rests = F.concat(
+        F.transform(upto("tops"), lambda i: name(0, i, block)), F.transform(upto("rests"), lambda j: name(1, F.least(block, j), F.greatest(block, j)))
+    )
+    return rows.select(F.explode(F.when(top, tops).otherwise(rests)).alias("cell"), "node", "n", "pos", "root")
+
+
 def _crossing(similarity: float):
     """Partitions sorted by (cell, n): pairs of a cell in different components that can be
-    similar enough by their sizes and by what follows the key."""
+    similar."""
 
     def run(batches):
+        found, size = [], 0
+        for group in groups(batches):
+            for pairs in crossing(group):
+                found.append(pairs)
+                size += len(pairs)
+                if size > 100_000:
+                    yield _pairs(found)
+                    found, size = [], 0
+        if found:
+            yield _pairs(found)
+
+    def groups(batches):
         held = np.zeros((0, 5), dtype=np.int64)  # cell, node, n, pos, root
         for batch in batches:
             rows = np.concatenate((held, np.stack([c.to_numpy().astype(np.int64) for c in batch.columns], axis=1)))
             cut = np.flatnonzero(rows[1:, 0] != rows[:-1, 0]) + 1
             last = int(cut[-1]) if len(cut) else 0
-            for group in np.split(rows[:last], cut[:-1]) if last else ():
-                yield from pairs(group)
+            yield from np.split(rows[:last], cut[:-1]) if last else ()
             held = rows[last:]
-        yield from pairs(held)
+        yield held
 
-    def pairs(group):
+    def crossing(group):
         _, nodes, n, pos, root = group.T
-        after = n - pos
         ends = np.searchsorted(n, (n + 1e-6) / similarity, "right")
-        a, b, held = [], [], 0
-        for i in range(len(group)):
+        for i in range(len(group) - 1):
             j = slice(i + 1, int(ends[i]))
-            most = np.minimum(after[j], after[i])
-            near = (root[j] != root[i]) & (most * (1 + similarity) >= similarity * (n[j] + n[i]) - 1e-6)
-            found = nodes[j][near]
-            if len(found):
-                a.append(np.minimum(found, nodes[i]))
-                b.append(np.maximum(found, nodes[i]))
-                held += len(found)
-            if held and (held > 100_000 or i == len(group) - 1):
-                yield _pairs(a, b)
-                a, b, held = [], [], 0
-        if held:
-            yield _pairs(a, b)
+            near = (root[j] != root[i]) & can_be_similar(n[j], pos[j], n[i], pos[i], similarity)
+            if near.any():
+                other = nodes[j][near]
+                yield np.stack([np.minimum(other, nodes[i]), np.maximum(other, nodes[i])], axis=1)
 
     return run
 
 
-def _pairs(a, b) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+def _pairs(found: list[np.ndarray]) -> pa.RecordBatch:
+    rows = np.unique(np.concatenate(found), axis=0)
+    return pa.record_batch([pa.array(rows[:, 0]), pa.array(rows[:, 1])], names=["a", "b"])
 
 
 def similar_components(
-    docs: DataFrame, known: DataFrame, edges: DataFrame, words: int = 5, similarity: float = 0.8, most: int = MOST
+    docs: DataFrame, known: DataFrame, often: np.ndarray, edges: DataFrame, words: int = 5, similarity: float = 0.8, most: int = MOST
 ) -> DataFrame:
     """``node, root`` of the nodes in links: those of ``edges(a, b)`` and all pairs of texts
     of ``docs(id, text)`` with at least this similarity.  ``known(id, node)`` names each
-    row's node."""
-    own = keyed(docs, words, similarity)
-    hub = own.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("key", "a")
-    shared = materialize(own.join(hub, "key").distinct(), "shared")
-    hubs = shared.where("node = a").select("key", F.col("n").alias("an"), F.col("pos").alias("apos"))
-    fits = f"least(n, an) >= {similarity} * greatest(n, an) - 1e-6 and least(n - pos, an - apos) * (1 + {similarity}) >= {similarity} * (n + an) - 1e-6"
-    stars = shared.where("node <> a").join(hubs, "key").where(fits).select("a", F.col("node").alias("b")).distinct()
-    stars = materialize(stars, "stars")
+    row's node, ``often`` has the frequencies of shingles."""
+    own = materialize(keyed(docs, often, words, similarity), "keyed")
+    shared = materialize(shared_keys(own), "shared")
+    local = own.where("hub is not null")
+    fits = can_be_similar(F.col("n"), F.col("pos"), F.col("an"), F.col("apos"), similarity)
+    stars = shared.where(F.col("node") != F.col("a")).where(fits).select("a", F.col("node").alias("b"))
+    stars = materialize(stars.unionByName(local.where("flag").select(F.col("hub").alias("a"), F.col("node").alias("b"))).distinct(), "stars")
     links = materialize(verified(stars, sets_of(docs, known, stars, words), similarity), "links")
     edges = edges.unionByName(links)
-    found = components(edges)
-    members = shared.join(found, "node", "left").withColumn("root", F.coalesce("root", "node")).drop("a")
-    mixed = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"))
-    mixed = mixed.where("low <> high and size > 2").select("key", F.ceil(F.col("size") * 2 / F.lit(most)).alias("cuts"))
-    rows = members.join(mixed, "key").withColumn("cut", F.pmod(F.xxhash64("node"), F.col("cuts")))
-    # No task holds a large group: it is cut into parts, and these meet part by part.
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)))
-    cell = F.xxhash64("key", F.least("cut", "other"), F.greatest("cut", "other")).alias("cell")
+    found = materialize(components(edges), "found")
+    columns = ["key", "node", "n", "pos"]
+    members = shared.select(*columns).unionByName(local.select(*columns)).join(found, "node", "left")
+    members = materialize(members.select(*columns, F.coalesce("root", "node").alias("root")), "members")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.select(cell, "node", "n", "pos", "root").repartition(parts, "cell").sortWithinPartitions("cell", "n")
-    rest = dealt.mapInArrow(_crossing(similarity), "a long, b long").distinct().join(stars, ["a", "b"], "left_anti")
+    dealt = cells(members, most).repartition(parts, "cell").sortWithinPartitions("cell", "n")
+    rest = dealt.mapInArrow(tidied(_crossing(similarity)), "a long, b long").distinct().join(stars, ["a", "b"], "left_anti")
     rest = materialize(rest, "rest")
     if rest.isEmpty():
         return found

@@ -14,8 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from spindle.llm._common import read_bytes, text_column
-from spindle.llm.bpe import ByteBPE, chunks, loaded
+from spindle.llm._common import read_bytes, slices, tidied
+from spindle.llm.bpe import ByteBPE, loaded
 from spindle.llm.pretokens import tokens_of
 
 
@@ -112,10 +112,9 @@ def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     def run(batches):
         trie = unigram(loaded(raw.value))
         for batch in batches:
-            texts = text_column(batch, 1)
             words, counts = [], []
-            for a, b in chunks(texts):
-                tokens, bounds = tokens_of(texts[a:b])
+            for _, texts in slices(batch, 1):
+                tokens, bounds = tokens_of(texts)
                 trie.learn(tokens)
                 each = np.fromiter(map(trie.cache.__getitem__, tokens), dtype=np.int64, count=len(tokens))
                 total = np.concatenate(([0], np.cumsum(each)))
@@ -125,4 +124,4 @@ def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
             yield pa.record_batch(columns, names=[id_col, "n_pretokens", "n_tokens"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_pretokens long, n_tokens long")
+    return docs.select(id_col, text_col).mapInArrow(tidied(run), f"`{id_col}` {kind}, n_pretokens long, n_tokens long")
