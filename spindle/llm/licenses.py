@@ -1,11 +1,15 @@
 """License scans by diagonal voting, with DataFrame functions only.
 
-Every run of three words of a text is hashed and joined with the hashed runs of the
-license templates (a fixed table).  A match at text word p and template word t votes
-for the diagonal p - t.  Votes of one diagonal are counted, neighbouring diagonals of a
-template are merged (words left out or put in), and a span stands if its votes cover
-enough of the template.  Of templates that begin at the same word the fullest wins.  Matches are verified word by word before they vote, so equal
-hashes of different words do not count.  Exact phrases need all votes of one diagonal.
+Every run of three words of a text is hashed, and the runs whose hash is one of the license
+templates' (a fixed table) are joined with the templates' positions.  A match at text word p
+and template word t votes for the diagonal p - t.  Votes of one diagonal are counted,
+neighbouring diagonals of a template are merged (words left out or put in), and a span stands
+if its votes cover enough of the template.  Of templates that begin at the same word the
+fullest wins.  Matches are verified word by word before they vote, so equal hashes of
+different words do not count.  Exact phrases need all votes of one diagonal.
+
+Runs are hashed and looked up within the text's row, and only hits become rows, so the time
+grows in proportion to a text's length.
 """
 
 from __future__ import annotations
@@ -77,16 +81,23 @@ def scan(
 
     ``least``: share of a template's word runs that its merged diagonals must match;
     ``slack``: distance of diagonals that merge.  A null or empty text has no words, no
-    labels and score 0; repeated rows give repeated results."""
+    labels and score 0; repeated rows give repeated results; an empty table gives none.  A
+    long text is one row, as it is in ``docs``; its time is linear in its length."""
+    grams = template_grams(docs.sparkSession, phrases, templates)
+    known = F.broadcast(grams)  # fixed size
+    wanted = sorted({r["gram"] for r in grams.select("gram").collect()})  # one number per template word
     own = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), words(F.col(text_col)).alias("words")
     )
     later = [f"get(words, i + {j})" for j in range(1, K)]
-    grams = F.expr(f"transform(words, (w, i) -> xxhash64(w, {', '.join(later)}))")
+    hashed = own.withColumn("grams", F.expr(f"transform(words, (w, i) -> xxhash64(w, {', '.join(later)}))"))
+    places = F.when(F.size("grams") > 0, F.sequence(F.lit(0), F.size("grams") - 1)).otherwise(F.array().cast("array<int>"))
+    hit = F.filter(places, lambda i: F.get("grams", i).isin(wanted))
+    each = F.transform(hit, lambda i: F.struct(i.alias("pos"), F.get("grams", i).alias("gram"), F.slice("words", i + 1, K).alias("run")))
     # The last entry, without a hash, stands at position n_words and keeps the row.
-    each = own.select("row", "id", "words", F.posexplode(F.concat(grams, F.array(F.lit(None).cast("long")))).alias("pos", "gram"))
-    known = F.broadcast(template_grams(docs.sparkSession, phrases, templates))  # fixed size
-    same = " and ".join(f"get(words, pos + {j}) = w{j}" for j in range(K))
+    end = F.struct(F.size("words").alias("pos"), F.lit(None).cast("long").alias("gram"), F.lit(None).cast("array<string>").alias("run"))
+    each = hashed.select("row", "id", F.explode(F.concat(each, F.array(end))).alias("e")).select("row", "id", "e.*")
+    same = " and ".join(f"get(run, {j}) = w{j}" for j in range(K))
     hits = each.join(known, "gram", "left").where(f"gram is null or (template is not null and {same})")
     hits = hits.select("row", "id", "pos", "template", "tpos", "size", "exact", "label", (F.col("pos") - F.col("tpos")).alias("diagonal"))
     by_row = hits.repartition("row")
