@@ -1,12 +1,17 @@
 """Exact top-k search by inner product, with norm-sorted pruning.
 
 Vectors are cut into blocks by descending length.  Each query first meets the longest
-vectors, which gives it a threshold: its k-th best score so far.  By Cauchy-Schwarz a
-block whose longest vector is too short for the threshold holds no better candidate, so
-a query goes on only to a prefix of the blocks.  Within a block, vectors are rotated
-onto the principal axes of all vectors, and a candidate is scored in full only if its
+vectors, which gives it a threshold: its k-th best score so far.  Blocks follow in rounds,
+each as long as all rounds before it, and after each round the thresholds rise.  By
+Cauchy-Schwarz a block whose longest vector is too short for the threshold holds no better
+candidate, so a query goes on only to a prefix of the blocks.  Within a block, vectors are
+rotated onto the principal axes of all vectors, and a candidate is scored in full only if its
 partial sum over the leading axes plus the product of the residual lengths reaches the
 threshold.  Scores are whole numbers and exact.
+
+Queries are dealt to parts by the length they still need of a vector, so that the queries of
+a part stop at about the same block, and a block is sent to a part only if one of its queries
+goes there.
 """
 
 from __future__ import annotations
@@ -17,10 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spindle.llm._common import materialize
+from spindle.llm._common import materialize, tidied
 
 BLOCK, HEAD, QUERIES, LEAD = 16_384, 2_048, 2_048, 16
 EXACT = float(1 << 52)
+NOTHING = np.iinfo(np.int64).min  # the threshold of a query that has met fewer than k vectors
 
 
 def quantized(vectors: DataFrame, scale: int = 64, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -64,7 +70,7 @@ def axes(vectors: DataFrame, width: int) -> np.ndarray:
             total += m.T @ m
         yield pa.record_batch([pa.array([total.ravel().tolist()], pa.list_(pa.float64()))], names=["s"])
 
-    parts = vectors.select("v").mapInArrow(run, "s array<double>").select(F.posexplode("s").alias("i", "s"))
+    parts = vectors.select("v").mapInArrow(tidied(run), "s array<double>").select(F.posexplode("s").alias("i", "s"))
     sums = {r["i"]: r["s"] for r in parts.groupBy("i").agg(F.sum("s").alias("s")).collect()}  # width ** 2 numbers
     moments = np.array([sums.get(i, 0.0) for i in range(width * width)]).reshape(width, width)
     moments /= max(np.abs(moments).max(), 1e-300)
@@ -109,6 +115,20 @@ def search_block(
     return out
 
 
+OUT = "query_id long, vec_id long, score long"
+
+
+def best(found: DataFrame, k: int, split: int) -> DataFrame:
+    """The ``k`` best of each query in ``found(query_id, vec_id, score, block)``, with ``rank``.
+    Rows of one query are first cut within ``split`` groups of blocks, so that no task gets all
+    the candidates of a query that meets many blocks."""
+    order = [F.desc("score"), F.col("vec_id")]
+    ranked = lambda df, *by: df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("rank") <= k)
+    if split > 1:
+        found = ranked(found.withColumn("group", F.pmod("block", F.lit(split))), "query_id", "group").drop("group", "rank")
+    return ranked(found, "query_id").select("query_id", "vec_id", "score", "rank")
+
+
 def top_k(
     vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
@@ -122,7 +142,6 @@ def top_k(
     spark = vectors.sparkSession
     own = materialize(quantized(vectors, scale, id_col, vector_col), "vectors")
     seen = own.agg(F.max(F.size("v")).alias("width"), F.count("*").alias("n")).first()
-    out = "query_id long, vec_id long, score long"
     if not seen["n"]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     width, n = seen["width"], seen["n"]
@@ -135,7 +154,6 @@ def top_k(
 
     first = Window.partitionBy("id").orderBy("v")
     queries = own.where(F.col("id") % every == 0).withColumn("copy", F.row_number().over(first)).where("copy = 1")
-    queries = queries.repartition(max(1, -(-n // (every * QUERIES))), "id").select("id", "v", "norm")
 
     def thresholds(batches):
         ids, block = longest.value
@@ -143,7 +161,7 @@ def top_k(
             if not batch.num_rows:
                 continue
             q, qid = _matrix(batch.column("v"), width), batch.column("id").to_numpy()
-            floor = np.full(len(q), np.iinfo(np.int64).min)
+            floor = np.full(len(q), NOTHING)
             for a in range(0, len(q), 256):
                 scores = products(q[a : a + 256], block)
                 for i, row in enumerate(scores):
@@ -152,19 +170,18 @@ def top_k(
                         floor[a + i] = np.partition(others, -k)[-k]
             yield pa.record_batch([*batch.columns, pa.array(floor)], names=[*batch.schema.names, "floor"])
 
-    ready = queries.mapInArrow(thresholds, "id long, v array<long>, norm double, floor long")
+    ready = queries.select("id", "v", "norm").mapInArrow(tidied(thresholds), "id long, v array<long>, norm double, floor long")
+    parts = max(1, -(-n // (every * QUERIES)))
+    need = F.col("floor") / F.greatest("norm", F.lit(1e-300))  # the length that a candidate must have
+    dealt = materialize(ready, "queries").repartitionByRange(parts, need.desc(), "id")
+    waiting = materialize(dealt.withColumn("part", F.spark_partition_id()), "parts")
 
-    # Blocks of candidates by descending length; a query meets those that can reach its threshold.
-    blocks = max(1, -(-n // BLOCK))
-    cut = materialize(own.repartitionByRange(blocks, F.desc("norm"), "id").withColumn("block", F.spark_partition_id()), "blocks")
-    reach = {r["block"]: r["m"] for r in cut.groupBy("block").agg(F.max("norm").alias("m")).collect()}  # one per block
-    limits = F.array(*[F.struct(F.lit(b).alias("block"), F.lit(float(m)).alias("most")) for b, m in sorted(reach.items())])
-    going = ready.select("id", "v", "norm", "floor", F.explode(limits).alias("to"))
-    going = going.where("norm * to.most * (1 + 1e-9) + 1e-9 >= floor").select(
-        F.col("to.block").alias("block"), F.pmod(F.xxhash64("id"), F.lit(max(1, -(-n // (every * QUERIES))))).alias("part"), "id", "v", "floor"
-    )
-    parts = F.sequence(F.lit(0).cast("long"), F.lit(max(1, -(-n // (every * QUERIES))) - 1).cast("long"))
-    meeting = cut.select("block", F.explode(parts).alias("part"), "id", "v")
+    # Blocks of candidates by descending length, and the longest vector of each.
+    count = max(1, -(-n // BLOCK))
+    cut = materialize(own.repartitionByRange(count, F.desc("norm"), "id").withColumn("block", F.spark_partition_id()), "blocks")
+    limits = materialize(cut.groupBy("block").agg(F.max("norm").alias("most")), "limits")
+    blocks = limits.agg(F.max("block").alias("b")).first()["b"] + 1
+    reaches = F.expr("norm * most * (1 + 1e-9) + 1e-9 >= floor")
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         rows = []
@@ -173,9 +190,28 @@ def top_k(
                 left["id"].to_numpy(), _matrix(left["v"], width), left["floor"].to_numpy(),
                 right["id"].to_numpy(), _matrix(right["v"], width), rotation.value, k,
             )
-        return pd.DataFrame(np.array(rows, dtype=np.int64).reshape(-1, 3), columns=["query_id", "vec_id", "score"])
-
-    found = going.groupBy("block", "part").cogroup(meeting.groupBy("block", "part")).applyInPandas(meet, out)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+        found = pd.DataFrame(np.array(rows, dtype=np.int64).reshape(-1, 3), columns=["query_id", "vec_id", "score"])
+        return found.assign(block=right["block"].iloc[0] if len(right) else 0)
+
+    done, begin = None, 0
+    while begin < blocks:
+        end = min(blocks, max(1, 2 * begin))
+        here = limits.where(F.col("block").between(begin, end - 1))
+        going = waiting.withColumn("block", F.explode(F.sequence(F.lit(begin), F.lit(end - 1)))).join(here, "block").where(reaches)
+        going = materialize(going.select("block", "part", "id", "v", "floor"), "going")
+        pairs = going.select(F.col("block").alias("at"), F.col("part").alias("to")).distinct()
+        meeting = cut.where(F.col("block").between(begin, end - 1)).join(pairs, F.col("block") == F.col("at")).select("block", F.col("to").alias("part"), "id", "v")
+        found = going.groupBy("block", "part").cogroup(meeting.groupBy("block", "part")).applyInPandas(meet, OUT + ", block long")
+        if done is not None:
+            found = found.unionByName(done.select("query_id", "vec_id", "score", F.lit(-1).cast("long").alias("block")))
+        done = materialize(best(found, k, int((end - begin) ** 0.5)), "best")
+        if end < blocks:
+            least = done.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("least"))
+            risen = waiting.join(least, "id", "left").withColumn("floor", F.coalesce(F.greatest("floor", "least"), "floor"))
+            shortest = here.agg(F.min("most")).first()[0]  # later blocks are no longer
+            going_on = risen.where(F.lit(float(shortest)) * F.col("norm") * (1 + 1e-9) + 1e-9 >= F.col("floor"))
+            waiting = materialize(going_on.select("id", "v", "norm", "floor", "part"), "parts")
+            if waiting.isEmpty():
+                break
+        begin = end
+    return done.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -361,7 +361,7 @@ def plain_top_k(rows, k, every):
 
 
 def test_top_k(spark, monkeypatch):
-    monkeypatch.setattr(topk, "BLOCK", 60)
+    monkeypatch.setattr(topk, "BLOCK", 20)
     monkeypatch.setattr(topk, "HEAD", 25)
     monkeypatch.setattr(topk, "QUERIES", 3)
     rng = np.random.default_rng(3)
