@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -108,31 +109,26 @@ def rows_of(features: Features, bags: list[dict[str, float]], place: np.ndarray,
     return Rows(np.concatenate(index), np.concatenate(value), np.array(size, dtype=np.int64), len(scale))
 
 
-def counterfactuals(texts: list[str], most: int = 400) -> list[dict[str, float]]:
-    """Differences (as word bags) between labelled sentences and their counterfactuals.
+def counterfactuals(texts: list[str]) -> list[tuple[dict[str, float], float]]:
+    """Differences (as word bags) between labelled sentences and their counterfactuals, each
+    with its share of all of them.
 
-    Sentences that name a group get the other members in its place; so that every term
-    is covered, terms are also set into a sentence without any.  ``most`` bounds the
-    number of sentences used per term."""
+    Sentences that name a group get the other members in its place.  So that every term is
+    covered, every term is also set into the sentences without any; as a sentence's other
+    words cancel, that is one difference a term, as often as there are such sentences, and
+    counts as much as all swaps together."""
     of = {t: g for g in IDENTITY_GROUPS for t in g}
-    used = dict.fromkeys(of, 0)
-    out: list[dict[str, float]] = []
-    plain: list[set[str]] = []
+    swaps: Counter[tuple[str, str]] = Counter()
+    plain = 0
     for text in texts:
         for sentence in SENTENCE.findall(text):
             words = words_of(sentence)
-            named = [w for w in words if w in of and used[w] < most]
-            if not named and len(plain) < most and words:
-                plain.append(words)
-            for w in named:
-                used[w] += 1
-                for other in of[w]:
-                    if other not in words:
-                        out.append({w: 1.0, other: -1.0})
-    for k, t in enumerate(t for t in of if plain for _ in range(4)):
-        if t not in plain[k % len(plain)]:
-            out.append({t: 1.0})
-    return out
+            named = sorted(words & of.keys())
+            plain += not named and bool(words)
+            swaps.update((w, other) for w in named for other in of[w] if other not in words)
+    total, kinds = sum(swaps.values()), bool(swaps) + bool(plain)
+    out = [({w: 1.0, other: -1.0}, n / total / kinds) for (w, other), n in sorted(swaps.items())]
+    return out + [({t: 1.0}, 1 / len(of) / kinds) for t in of if plain]
 
 
 @dataclass
@@ -214,14 +210,14 @@ def train(
     place[kept] = np.arange(len(kept))
     scale = np.minimum(np.abs(z[kept]) - clear, 10) / 10
     swaps = counterfactuals(texts)
-    x, d = rows_of(features, bags, place, scale), rows_of(features, swaps, place, scale)
+    x, d = rows_of(features, bags, place, scale), rows_of(features, [b for b, _ in swaps], place, scale)
     weight = np.where(y == 1, prior / y.sum(), (1 - prior) / (1 - y).sum())
-    pull = counterfactual / max(1, len(swaps))
+    pull = counterfactual * np.array([share for _, share in swaps])
     w, b = np.zeros(len(kept)), float(np.log(prior / (1 - prior)))
     v = np.ones(len(kept))
     curve = 1.0
     for _ in range(15):  # the largest curvature, by power iteration
-        v = 0.25 * x.transposed_times(weight * x.times(v)) + pull * d.transposed_times(d.times(v))
+        v = 0.25 * x.transposed_times(weight * x.times(v)) + d.transposed_times(pull * d.times(v))
         curve = float(np.linalg.norm(v)) or 1.0
         v /= curve
     step = 1 / (1.1 * curve + 0.25)
@@ -229,7 +225,7 @@ def train(
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x.times(wz) + bz, -50, 50)))
         r = weight * (p - y)
-        g = x.transposed_times(r) + pull * d.transposed_times(d.times(wz))
+        g = x.transposed_times(r) + d.transposed_times(pull * d.times(wz))
         nw = wz - step * g
         nw = np.sign(nw) * np.maximum(np.abs(nw) - step * l1, 0)
         nb = bz - step * r.sum()
