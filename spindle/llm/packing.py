@@ -107,17 +107,18 @@ def pieces(
     return docs.select(id_col, text_col).mapInArrow(tidied(run), schema)
 
 
-def ranked(df: DataFrame, length: str, ties: list[str]) -> DataFrame:
-    """Adds ``rank``, from 0 without gaps within each length.
+def ranked(df: DataFrame, length: str, row: str) -> DataFrame:
+    """Adds ``rank``, from 0 without gaps within each length; ``row`` is a number that no two
+    rows share, in a written table.
 
-    One length may hold most rows, so ranks are counted within hashed parts of a
-    length and shifted by the number of rows in the parts before."""
+    One length, and one repeated piece, may hold most rows, so ranks are counted within parts
+    of a length, dealt by the row's number, and shifted by the rows in the parts before."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df = df.withColumn("part", F.pmod(F.xxhash64(*ties), F.lit(parts)))
+    df = df.withColumn("part", F.pmod(F.xxhash64(row), F.lit(parts)))
     before = Window.partitionBy(length).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = df.groupBy(length, "part").agg(F.count("*").alias("n"))
     shift = sizes.select(length, "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
-    own = F.row_number().over(Window.partitionBy(length, "part").orderBy(*ties)) - 1
+    own = F.row_number().over(Window.partitionBy(length, "part").orderBy(row)) - 1
     return df.withColumn("own", own).join(shift, [length, "part"]).withColumn("rank", F.col("own") + F.col("shift"))
 
 
@@ -131,7 +132,8 @@ def pack(
     alone; repeated rows are packed once each; an empty table gives no rows.
     ``padded_tokens`` is ``size``, or the fill itself where that is a power of two.
     """
-    cut = materialize(pieces(docs, tokenizer, size, end_id, id_col, text_col), "pieces")
+    cut = pieces(docs, tokenizer, size, end_id, id_col, text_col)
+    cut = materialize(cut.withColumn("row", F.monotonically_increasing_id()), "pieces")
     histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
     table = docs.sparkSession.sparkContext.broadcast(slots(pack_histogram(histogram, size)))
     names = [id_col, "start", "length", "ids_crc32", "doc_tokens"]
@@ -153,4 +155,4 @@ def pack(
     schema = f"`{id_col}` {kind}, " + ", ".join(
         f"{c} long" for c in (*names[1:], "sequence_id", "offset", "sequence_tokens", "padded_tokens")
     )
-    return ranked(cut, "length", [id_col, "start", "ids_crc32"]).select(*names, "rank").mapInArrow(tidied(place), schema)
+    return ranked(cut, "length", "row").select(*names, "rank").mapInArrow(tidied(place), schema)
