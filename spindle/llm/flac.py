@@ -1,4 +1,5 @@
-"""A FLAC encoder and decoder for 8-bit mono samples, vectorised over frames.
+"""A FLAC encoder and decoder for 8-bit mono samples, vectorised over frames; streams of
+other encoders go to :mod:`spindle.llm.flac_stream`.
 
 Streams follow the published format: STREAMINFO with the MD5 of the samples, a
 SEEKTABLE with one point per frame, then frames with CRC-8 headers and CRC-16
@@ -18,14 +19,17 @@ from functools import lru_cache
 
 import numpy as np
 
+from spindle.llm import flac_stream
+from spindle.llm.flac_stream import FlacError
+
 BLOCK, ORDER, PRECISION, PARTS = 4096, 4, 12, 2  # samples, predictor, coefficient bits, log2 of partitions
 RATE = 8000
 CONSTANT, VERBATIM, LPC = 0x00, 0x02, 0x40 | (ORDER - 1) << 1
 GROUP = 2_000_000
 
 
-class FlacError(ValueError):
-    """A stream that is not well-formed or fails a checksum."""
+class Unusual(FlacError):
+    """A well-formed stream of a form that is not read side by side."""
 
 
 @lru_cache(maxsize=1)
@@ -55,7 +59,7 @@ def crc16(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """CRC-16 of each range of ``data``; ranges are in order and not empty."""
     size = end - begin
     if len(size) and size.max() > BLOCK + 128:
-        raise FlacError("a frame is too long")
+        raise Unusual("a frame is too long")
     left = np.repeat(end, size) - np.arange(size.sum()) - np.repeat(begin - (np.cumsum(size) - size), size) - 1
     where = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
     return np.bitwise_xor.reduceat(crc16_table()[left, data[where]], np.cumsum(size) - size)
@@ -216,7 +220,7 @@ def decode_frames(data: bytes, begin: np.ndarray, end: np.ndarray, numbers: np.n
         raise FlacError("no frame where the seek table says")
     code, rest = take(8), take(8)
     if (rest != 0x02).any() or ((code & 0xF) != 4).any():
-        raise FlacError("only 8-bit mono frames at 8 kHz are read")
+        raise Unusual("no 8-bit mono frames at 8 kHz")
     code >>= 4
     lead = take(8)
     more = np.select([lead < 0x80, lead < 0xE0, lead < 0xF0, lead < 0xF8, lead < 0xFC], [0, 1, 2, 3, 4], 5)
@@ -234,18 +238,18 @@ def decode_frames(data: bytes, begin: np.ndarray, end: np.ndarray, numbers: np.n
     kind = take(8)
     lpc, plain, constant = kind == LPC, kind == VERBATIM, kind == CONSTANT
     if not (lpc | plain | constant).all():
-        raise FlacError("unknown subframe")
+        raise Unusual("another subframe")
     order = np.where(lpc, ORDER, 0)
     signed = lambda v, b: v - ((v >> (b - 1) & 1) << b)
     warm = np.stack([signed(take(np.where((j < order) | (constant & (j == 0)), 8, 0)), 8) for j in range(ORDER)])
     if (lpc & (take(np.where(lpc, 4, 0)) != PRECISION - 1)).any():
-        raise FlacError("unknown precision")
+        raise Unusual("another precision")
     shift = take(np.where(lpc, 5, 0))
     coef = np.stack([signed(take(np.where(lpc, PRECISION, 0)), PRECISION) for _ in range(ORDER)])
     coef[0] = np.where(constant, 1, coef[0])
     order = np.where(constant, 1, order)
     if (take(np.where(lpc, 6, 0))[lpc] != PARTS).any():
-        raise FlacError("unknown residual coding")
+        raise Unusual("another residual coding")
 
     # Longest frames first, so that the frames still running are a prefix.
     by = np.argsort(-size, kind="stable")
@@ -280,7 +284,7 @@ def _read_rice(w, at, size, rice, residual) -> None:
     for p in range(1 << PARTS):
         k = ((w[at >> 3] << (at & 7).astype(np.uint64)) >> np.uint64(60)).astype(np.int64)
         if (k == 15).any():
-            raise FlacError("unknown residual coding")
+            raise Unusual("an escaped partition")
         at += 4
         first = 0 if p else ORDER
         longest = int(part.max())
@@ -368,27 +372,40 @@ def _stream(payload: bytes, frames: list[bytes]) -> bytes:
 
 
 def parse(media: bytes) -> tuple[int, bytes, np.ndarray, int]:
-    """Samples in all, their MD5, the seek points (sample, offset, size), first frame."""
-    if media[:4] != b"fLaC":
-        raise FlacError("not a FLAC stream")
-    at, info, seek, last = 4, b"", b"", False
-    while not last:
-        if at + 4 > len(media):
-            raise FlacError("the stream is cut")
-        kind, size = media[at] & 0x7F, int.from_bytes(media[at + 1 : at + 4], "big")
-        last = bool(media[at] & 0x80)
-        body = media[at + 4 : at + 4 + size]
-        info, seek = (body if kind == 0 else info), (body if kind == 3 else seek)
+    """Samples in all, their MD5, the seek points (sample, offset, size), first frame, of a
+    stream with a seek point for each frame of ``BLOCK`` samples; others raise ``Unusual``."""
+    head = flac_stream.head_of(media)
+    at, seek = 4, b""
+    while at < head.frames:
+        size = int.from_bytes(media[at + 1 : at + 4], "big")
+        seek = media[at + 4 : at + 4 + size] if media[at] & 0x7F == 3 else seek
         at += 4 + size
-    if len(info) != 34 or not seek or len(seek) % 18:
-        raise FlacError("no stream info or seek table")
-    packed = int.from_bytes(info[10:18], "big")
-    points = np.array([struct.unpack_from(">QQH", seek, i) for i in range(0, len(seek), 18)], dtype=np.int64)
-    return packed & ((1 << 36) - 1), info[18:34], points, at
+    if (head.block, head.rate, head.channels, head.bits) != ((BLOCK, BLOCK), RATE, 1, 8) or len(seek) % 18:
+        raise Unusual("another kind of stream")
+    points = np.array([struct.unpack_from(">QQH", seek, i) for i in range(0, len(seek), 18)], dtype=np.uint64).astype(np.int64)
+    if len(points) != -(-head.total // BLOCK) or not len(points) or (points[:, 0] != np.arange(len(points)) * BLOCK).any():
+        raise Unusual("no seek point for each frame")
+    return head.total, head.md5, points, head.frames
 
 
 def decode(streams: list[bytes]) -> list[bytes]:
-    """The payloads of streams; raises FlacError where any checksum differs."""
+    """The payloads of streams, or the PCM bytes of those of other encoders; raises FlacError
+    where any checksum differs."""
+    return [b"".join(pcm for _, pcm in blocks) for blocks in decode_blocks(streams)]
+
+
+def decode_blocks(streams: list[bytes]) -> list[list[tuple[int, bytes]]]:
+    """Of each stream its blocks: the number of the first sample, and the PCM bytes."""
+    try:
+        return [[(at, raw[at : at + BLOCK]) for at in range(0, len(raw), BLOCK)] for raw in _side_by_side(streams)]
+    except Unusual:
+        if len(streams) > 1:
+            return [blocks for s in streams for blocks in decode_blocks([s])]
+    head, blocks = flac_stream.read(streams[0])
+    return [[(at, flac_stream.pcm(x, head.bits)) for at, x in blocks]]
+
+
+def _side_by_side(streams: list[bytes]) -> list[bytes]:
     heads = [parse(s) for s in streams]
     work = [(i, j) for i, (_, _, points, _) in enumerate(heads) for j in range(len(points))]
     parts: list[list[np.ndarray]] = [[] for _ in streams]

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from spindle.llm import bpe, flac, licenses, media, packing, pii, quality, similar, simhash, token_counts, topk, toxicity
+from spindle.llm import bpe, flac, flac_stream, licenses, media, packing, pii, quality, similar, simhash, token_counts, topk, toxicity
 from spindle.llm.components import components
 from spindle.llm.pretokens import tokens_of
 
@@ -502,6 +502,129 @@ def test_flac_finds_every_flipped_bit_of_a_frame():
         flac.decode([stream[: first + 4]])
 
 
+class Written:
+    """Bits put one after the other, for streams built by hand from the format's description."""
+
+    def __init__(self):
+        self.bits = ""
+
+    def put(self, value, n):
+        self.bits += format(value & (1 << n) - 1, f"0{n}b") if n else ""
+        return self
+
+    def unary(self, n):
+        self.bits += "0" * n + "1"
+        return self
+
+    def bytes(self):
+        own = self.bits + "0" * (-len(self.bits) % 8)
+        return bytes(int(own[i : i + 8], 2) for i in range(0, len(own), 8))
+
+
+def rice(w, residual, k, width=4):
+    w.put(k, width)
+    for r in residual:
+        u = 2 * r if r >= 0 else -2 * r - 1
+        w.unary(u >> k).put(u, k)
+
+
+def coded(w, x, order, coefficients, shift, bits, coding, parts, ks, precision=None, wasted=0):
+    """A predicted subframe of samples ``x``; ``ks``: each partition's parameter, or ("e", n)."""
+    kind = 8 + order if precision is None else 31 + order
+    w.put(0, 1).put(kind, 6)
+    if wasted:
+        w.put(1, 1).unary(wasted - 1)
+        x, bits = [v >> wasted for v in x], bits - wasted
+    else:
+        w.put(0, 1)
+    for v in x[:order]:
+        w.put(v, bits)
+    if precision is not None:
+        w.put(precision - 1, 4).put(shift, 5)
+        for c in coefficients:
+            w.put(c, precision)
+    residual = [x[i] - (sum(c * x[i - 1 - j] for j, c in enumerate(coefficients)) >> shift) for i in range(order, len(x))]
+    w.put(coding, 2).put(parts, 4)
+    each, at, width = len(x) >> parts, 0, 4 + coding
+    for p, k in enumerate(ks):
+        n = each - (0 if p else order)
+        if isinstance(k, tuple):
+            w.put((1 << width) - 1, width).put(k[1], 5)
+            for r in residual[at : at + n]:
+                w.put(r, k[1])
+        else:
+            rice(w, residual[at : at + n], k, width)
+        at += n
+
+
+def framed(number, size_code, extra, layout, sample_code, body, rate_code=0, rate_extra=(0, 0), variable=0):
+    head = Written().put(0x7FFC, 15).put(variable, 1).put(size_code, 4).put(rate_code, 4).put(layout, 4).put(sample_code, 3).put(0, 1)
+    raw = number.to_bytes(1, "big") if number < 128 else chr(number).encode()
+    for b in raw:
+        head.put(b, 8)
+    head.put(*extra).put(*rate_extra)
+    head.put(flac_stream.crc8(head.bytes()), 8)
+    body(head)
+    raw = head.bytes()
+    return raw + flac_stream.crc16(raw).to_bytes(2, "big")
+
+
+def streamed(frames, samples, bits, channels, block, total=True):
+    wide = (bits + 7) // 8
+    pcm = b"".join(int(v).to_bytes(wide, "little", signed=True) for row in samples for v in row)
+    info = block.to_bytes(2, "big") * 2 + bytes(6) + (44100 << 44 | (channels - 1) << 41 | (bits - 1) << 36 | (len(samples) if total else 0)).to_bytes(8, "big")
+    note = b"\x04" + (4).to_bytes(3, "big") + b"note"
+    return b"fLaC\x00" + len(info + hashlib.md5(pcm).digest()).to_bytes(3, "big") + info + hashlib.md5(pcm).digest() + b"\x84" + note[1:] + b"".join(frames)
+
+
+def test_flac_reads_streams_of_any_encoder():
+    rng = random.Random(4)
+    walk = lambda n, lim: [max(-lim, min(lim - 1, int(lim * 0.5 * np.sin(i / 9) + rng.randint(-5, 5)))) for i in range(n)]
+    # Fixed predictors of every order, 8 bits, block sizes with 8 and 16 more bits, no seek table.
+    frames, samples = [], []
+    for order in range(5):
+        x = walk(192, 100)
+        frames.append(framed(order, 1, (0, 0), 0, 1, lambda w: coded(w, x, order, flac_stream.FIXED[order], 0, 8, order % 2, 2, [3, ("e", 12), 2, 4]), 12, (8, 8)))
+        samples += [(v,) for v in x]
+    stream = streamed(frames, samples, 8, 1, 192)
+    assert flac.decode([stream]) == [bytes(v[0] + 128 for v in samples)]
+    assert [at for at, _ in flac.decode_blocks([stream])[0]] == [0, 192, 384, 576, 768]
+    own = flac.encode([media.payload("words " * 50)])[0]
+    assert flac.decode([own, stream]) == [media.payload("words " * 50), flac.decode([stream])[0]]
+    # Linear predictors of many orders and precisions, 16 bits, variable block sizes.
+    frames, samples = [], []
+    for order, precision in ((1, 15), (2, 5), (7, 12), (12, 14), (32, 9)):
+        x = walk(100 + order, 30000)
+        c = [max(-(1 << precision - 1), min((1 << precision - 1) - 1, v)) for v in ([15, -3] + [rng.randint(-2, 2) for _ in range(30)])[:order]]
+        body = lambda w: coded(w, x, order, c, 4, 16, 1, 0, [13], precision)
+        frames.append(framed(len(samples), 6, (len(x) - 1, 8), 0, 4, body, 13, (44100, 16), variable=1))
+        samples += [(v,) for v in x]
+    assert flac.decode([streamed(frames, samples, 16, 1, 16, total=False)]) == [b"".join(v[0].to_bytes(2, "little", signed=True) for v in samples)]
+    # Stereo forms, wasted bits, constant and verbatim subframes, 24 bits.
+    left, right = [4 * v for v in walk(256, 2000)], [4 * v for v in walk(256, 1500)]
+    plain = lambda w, x, n: [w.put(2, 8), *[w.put(v, n) for v in x]]
+    bodies = {
+        1: lambda w: (coded(w, left, 2, (2, -1), 0, 24, 0, 1, [6, 7], wasted=2), plain(w, right, 24)),
+        8: lambda w: (plain(w, left, 24), plain(w, [a - b for a, b in zip(left, right)], 25)),
+        9: lambda w: (plain(w, [a - b for a, b in zip(left, right)], 25), coded(w, right, 1, (1,), 0, 24, 1, 0, [8])),
+        10: lambda w: (plain(w, [a + b >> 1 for a, b in zip(left, right)], 24), plain(w, [a - b for a, b in zip(left, right)], 25)),
+    }
+    frames = [framed(i, 8, (0, 0), layout, 6, body, 9) for i, (layout, body) in enumerate(bodies.items())]
+    frames.append(framed(4, 7, (299, 16), 1, 0, lambda w: (w.put(0, 8).put(-7, 24), w.put(0, 8).put(5, 24))))
+    samples = list(zip(left, right)) * 4 + [(-7, 5)] * 300
+    stream = streamed(frames, samples, 24, 2, 256)
+    head, blocks = flac_stream.read(stream)
+    assert np.concatenate([x for _, x in blocks]).tolist() == [list(v) for v in samples] and (head.channels, head.bits) == (2, 24)
+    for at in range(head.frames, len(stream), 37):
+        broken = bytearray(stream)
+        broken[at] ^= 1 << at % 8
+        with pytest.raises(flac.FlacError):
+            flac.decode([bytes(broken)])
+    # What the own encoder writes is well-formed to the general reader.
+    head, blocks = flac_stream.read(own)
+    assert b"".join(flac_stream.pcm(x, 8) for _, x in blocks) == media.payload("words " * 50)
+
+
 def test_media_frames(docs, none):
     rows = {r["doc_id"]: r for r in media.stored_and_read(docs).collect()}
     for i, t in enumerate(EDGES):
