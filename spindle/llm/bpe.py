@@ -27,6 +27,12 @@ from spindle.llm.pretokens import tokens_of
 NONE = np.int64(1) << 40
 
 
+def room(words: list[str]) -> int:
+    """How many places words take in a cache: one for each 64 characters begun, so that a
+    cache is bounded in bytes too."""
+    return sum(1 + len(w) // 64 for w in words)
+
+
 @lru_cache(maxsize=1)
 def byte_alphabet() -> dict[str, int]:
     """The printable stand-in of each byte in byte-level vocabularies: bytes that
@@ -70,6 +76,7 @@ class ByteBPE:
         self._self_encoding()
         self.cache_words = cache_words
         self.cache: dict[str, bytes] = {}
+        self.held = 0
 
     def _self_encoding(self) -> None:
         """Drop from the proposals every token that merging its own bytes would not give."""
@@ -166,9 +173,11 @@ class ByteBPE:
         """Adds the words of a batch to the cache; a full cache starts anew."""
         cache = self.cache
         new = [t for t in set(tokens) if t not in cache]
-        if len(cache) + len(new) > self.cache_words and cache:
+        self.held += room(new)
+        if self.held > self.cache_words and cache:
             cache.clear()
             new = list(set(tokens))
+            self.held = room(new)
         words = [t.encode("utf-8", "surrogatepass") for t in new]
         for t, ids in zip(new, self.encode_words(words)):
             cache[t] = np.array(ids, dtype="<u4").tobytes()

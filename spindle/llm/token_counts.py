@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from spindle.llm._common import read_bytes, slices, tidied
-from spindle.llm.bpe import ByteBPE, loaded
+from spindle.llm.bpe import ByteBPE, loaded, room
 from spindle.llm.pretokens import tokens_of
 
 
@@ -47,6 +47,7 @@ class UnigramTrie:
         self.score[list(value)] = list(value.values())
         self.cache_words = cache_words
         self.cache: dict[str, int] = {}
+        self.held = 0
 
     def step(self, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
         """The child nodes, or 0 (the root is nobody's child)."""
@@ -92,9 +93,11 @@ class UnigramTrie:
 
     def learn(self, tokens: list[str]) -> None:
         new = [t for t in set(tokens) if t not in self.cache]
-        if self.cache and len(self.cache) + len(new) > self.cache_words:
+        self.held += room(new)
+        if self.cache and self.held > self.cache_words:
             self.cache.clear()
             new = list(set(tokens))
+            self.held = room(new)
         self.cache.update(zip(new, self.count([t.encode("utf-8", "surrogatepass") for t in new]).tolist()))
 
 
