@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from spindle.llm._common import materialize, slices, small, tidied
 from spindle.llm.components import components
-from spindle.llm.similar import PIECE, Frequencies, frequencies, node, shingles, similar_components, word_pieces
+from spindle.llm.similar import PIECE, Frequencies, frequencies, node, shingles, signature, similar_components, word_pieces
 
 BLOCKS = 6
 MOST = 20_000
@@ -204,9 +204,10 @@ def near_duplicates(
 
 
 def named(docs: DataFrame, words: int, similar_words: int, id_col: str, text_col: str) -> DataFrame:
-    """``id, fp, node`` of every whole text (texts with one set of shingles are one node), and
-    in rows with a ``chunk`` the tables of each task's frequencies of shingles."""
-    names = ["id", "fp", "node", "chunk", "counts"]
+    """``id, fp, node, sign`` of every whole text (texts with one set of shingles are one node
+    and have one signature), and in rows with a ``chunk`` the tables of each task's frequencies
+    of shingles."""
+    names = ["id", "fp", "node", "sign", "chunk", "counts"]
 
     def run(batches):
         seen, kind = Frequencies(), None
@@ -216,15 +217,16 @@ def named(docs: DataFrame, words: int, similar_words: int, id_col: str, text_col
                 sets = [shingles(t, similar_words) for t in texts]
                 seen.add(sets)
                 fps = pa.array([fingerprint(t, words) for t in texts], pa.int64())
+                own = [pa.array(list(map(node, sets)), pa.int64()), pa.array(list(map(signature, sets)), pa.binary())]
                 nothing = [pa.nulls(len(texts), pa.int32()), pa.nulls(len(texts), pa.binary())]
-                yield pa.record_batch([batch.column(0).slice(at, len(texts)), fps, pa.array(list(map(node, sets)), pa.int64()), *nothing], names=names)
+                yield pa.record_batch([batch.column(0).slice(at, len(texts)), fps, *own, *nothing], names=names)
         if kind is not None:
             counts = seen.chunks()
-            nothing = [pa.nulls(len(counts), t) for t in (kind, pa.int64(), pa.int64())]
+            nothing = [pa.nulls(len(counts), t) for t in (kind, pa.int64(), pa.int64(), pa.binary())]
             yield pa.record_batch([*nothing, pa.array(range(len(counts)), pa.int32()), pa.array(counts, pa.binary())], names=names)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(tidied(run), f"id {kind}, fp long, node long, chunk int, counts binary")
+    return docs.select(id_col, text_col).mapInArrow(tidied(run), f"id {kind}, fp long, node long, sign binary, chunk int, counts binary")
 
 
 def deduplicated(
@@ -240,7 +242,7 @@ def deduplicated(
     ``distance`` bits, and texts with ``similarity`` of shingles of ``similar_words`` words
     at least (:mod:`spindle.llm.similar`).  Ids are whole numbers."""
     found = materialize(named(docs, words, similar_words, id_col, text_col), "named")
-    known = found.where("chunk is null and id is not null").select("id", "fp", "node")
+    known = found.where("chunk is null and id is not null").select("id", "fp", "node", "sign")
     often = frequencies(found.where("chunk is not null"))
     by_fp = known.groupBy("fp").agg(F.min("node").alias("a"))
     same = known.select("fp", F.col("node").alias("b")).distinct().join(by_fp, "fp").select("a", "b")

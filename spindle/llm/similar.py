@@ -3,15 +3,17 @@
 Of two sets with a Jaccard similarity of at least t, each holds at least ``ceil(t * n)`` of
 the other's members, ``n`` its own size.  In any order of all shingles, then, the first
 ``n - ceil(t * n) + 1`` shingles of the one and of the other have one in common, whatever
-the shape of the edits.  These are the keys; every candidate is verified by the true overlap
-of the whole texts.
+the shape of the edits.  These are the keys; every candidate that a signature of the sets does
+not rule out is verified by the true overlap of the whole texts.
 
 The order is by frequency, the rarest first, which keeps groups small and changes no result.
 Frequencies are those of all texts, counted in a table of fixed size (``BUCKETS``).
 
-Each task links the texts that share a key among its own rows to the smallest of them, its
-hub, and only hubs are shuffled, so that a key that very many texts share is a few rows of
-each task.  The hubs of a key are linked to the smallest of them.  Members of a key that are
+Each task links the texts that share a key among its own rows to one of them, its hub, and
+only hubs are shuffled, so that a key that very many texts share is a few rows of each task.
+The hubs of a key are linked to one of them in turn.  A hub is the text in whose order the
+key stands first: it has the fewest rare shingles of its own, so among edited copies of a text
+it is the one that most others are closest to.  Members of a key that are
 still in different components once these pairs are verified are compared pair by pair, and
 a large component's members never among themselves.
 """
@@ -32,6 +34,7 @@ from spindle.llm._common import materialize, slices, small, tidied
 from spindle.llm.components import components
 
 BUCKETS, CHUNKS = 1 << 18, 64  # of the table of frequencies
+CELLS = 256  # of a signature
 MOST = 20_000  # rows of a key that one task compares, about
 KEYS = 1_000_000  # keys that a task holds
 PIECE = 1 << 18  # bytes of a text that are split into words at one time
@@ -144,9 +147,9 @@ KEYED = "key long, node long, n int, pos int, hub long, flag boolean"
 def keyed(docs: DataFrame, often: np.ndarray, words: int, similarity: float, keys: int = KEYS) -> DataFrame:
     """The prefixes of ``docs(text)``: ``key, node, n (the set's size), pos (the key's place)``.
 
-    Of the rows of a key that a task holds at one time, ``hub`` is null in that of the smallest
-    node, and ``flag`` tells whether there are others; these have the smallest node as ``hub``,
-    and ``flag`` tells whether the two can be similar."""
+    Of the rows of a key that a task holds at one time, ``hub`` is null in the one with the
+    key at the smallest place, and ``flag`` tells whether there are others; these have its node
+    as ``hub``, and ``flag`` tells whether the two can be similar."""
     shared = docs.sparkSession.sparkContext.broadcast(often)
 
     def run(batches):
@@ -174,7 +177,7 @@ def _hubs(keys: list[np.ndarray], sets: list[tuple[int, int, int]], similarity:
     key = np.concatenate(keys).view(np.int64)
     own, n = np.repeat(nodes, each), np.repeat(sizes, each)
     pos = np.concatenate([np.arange(k) for k in each])
-    by = np.lexsort((own, key))
+    by = np.lexsort((own, pos, key))
     key, own, n, pos = key[by], own[by], n[by], pos[by]
     first = np.concatenate(([True], key[1:] != key[:-1]))
     at = np.flatnonzero(first)[np.cumsum(first) - 1]  # of each row its hub's
@@ -186,9 +189,9 @@ def _hubs(keys: list[np.ndarray], sets: list[tuple[int, int, int]], similarity:
 
 
 def shared_keys(own: DataFrame) -> DataFrame:
-    """Of the hubs in :func:`keyed`, those whose key has another row, with the key's smallest
+    """Of the hubs in :func:`keyed`, those whose key has another row, with the key's first
     hub ``a``, its ``an`` and ``apos``; one shuffle."""
-    along = Window.partitionBy("key").orderBy("node")
+    along = Window.partitionBy("key").orderBy("pos", "node")
     hubs = own.where("hub is null").select(
         "key", "node", "n", "pos", "flag", F.lag("node").over(along).alias("before"), F.lead("node").over(along).alias("after"),
         *(F.first(c).over(along.rowsBetween(Window.unboundedPreceding, 0)).alias(a) for c, a in (("node", "a"), ("n", "an"), ("pos", "apos"))),
@@ -201,6 +204,41 @@ def shared_keys(own: DataFrame) -> DataFrame:
 # --- verification -------------------------------------------------------------------------
 
 
+def signature(hashes: np.ndarray) -> bytes:
+    """The size of a set and, of each of ``CELLS`` parts of all hashes, how many it has, 255 for
+    255 or more."""
+    counts = np.bincount((hashes >> np.uint64(56)).astype(np.int64), minlength=CELLS)
+    return len(hashes).to_bytes(8, "little") + np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def promising(pairs: DataFrame, signs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs ``a, b`` that can be similar by their ``signs(node, sign)``: two sets share in
+    no part more than the smaller has there, so no similar pair is left out."""
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, 8 + CELLS) for i in (2, 3)]
+            n, m = (r[:, :8].copy().view("<i8")[:, 0] for r in rows)
+            x, y = (r[:, 8:] for r in rows)
+            both = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+            full = ((x == 255) & (y == 255)).any(axis=1)
+            keep = full | (both * (1 + similarity) >= similarity * (n + m) - 1e-6)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    need = small(materialize(nodes_of(pairs), "nodes"))
+    own = signs.join(need, "node", "left_semi").groupBy("node").agg(F.first("sign").alias("sign"))
+    own = materialize(own, "signs")
+    one = lambda c: own.select(F.col("node").alias(c), F.col("sign").alias(f"{c}_sign"))
+    both = pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", "a_sign", "b_sign")
+    return materialize(both.mapInArrow(tidied(run), "a long, b long"), "promising")
+
+
+def nodes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+
+
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs ``a, b`` whose ``sets(node, hashes)`` are similar enough."""
 
@@ -222,16 +260,17 @@ def sets_of(docs: DataFrame, known: DataFrame, pairs: DataFrame, words: int) ->
     """``node, hashes`` of all nodes in ``pairs``; ``known(id, node)`` tells their texts."""
 
     def run(batches):
+        seen = set()
         for batch in batches:
             for _, texts in slices(batch, 0):
-                each = [shingles(t, words) for t in texts]
-                nodes, raw = pa.array(list(map(node, each)), pa.int64()), pa.array([e.tobytes() for e in each], pa.binary())
-                yield pa.record_batch([nodes, raw], names=["node", "hashes"])
+                own = {node(s): s.tobytes() for s in (shingles(t, words) for t in texts)}
+                new = {k: v for k, v in own.items() if k not in seen}
+                seen |= new.keys()
+                yield pa.record_batch([pa.array(list(new), pa.int64()), pa.array(list(new.values()), pa.binary())], names=["node", "hashes"])
 
-    need = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    ids = known.groupBy("node").agg(F.min("id").alias("id")).join(need, "node", "left_semi").select("id").distinct()
+    ids = known.groupBy("node").agg(F.min("id").alias("id")).join(nodes_of(pairs), "node", "left_semi").select("id").distinct()
     found = docs.join(small(materialize(ids, "ids")), "id", "left_semi").select("text").mapInArrow(tidied(run), "node long, hashes binary")
-    return materialize(found.dropDuplicates(["node"]), "sets")
+    return materialize(found, "sets")  # a node that several tasks had gives a link twice
 
 
 # --- members of a key in different components ---------------------------------------------
@@ -309,25 +348,28 @@ def similar_components(
     docs: DataFrame, known: DataFrame, often: np.ndarray, edges: DataFrame, words: int = 5, similarity: float = 0.8, most: int = MOST
 ) -> DataFrame:
     """``node, root`` of the nodes in links: those of ``edges(a, b)`` and all pairs of texts
-    of ``docs(id, text)`` with at least this similarity.  ``known(id, node)`` names each
-    row's node, ``often`` has the frequencies of shingles."""
+    of ``docs(id, text)`` with at least this similarity.  ``known(id, node, sign)`` names each
+    row's node and its signature, ``often`` has the frequencies of shingles."""
     own = materialize(keyed(docs, often, words, similarity), "keyed")
     shared = materialize(shared_keys(own), "shared")
     local = own.where("hub is not null")
     fits = can_be_similar(F.col("n"), F.col("pos"), F.col("an"), F.col("apos"), similarity)
-    stars = shared.where(F.col("node") != F.col("a")).where(fits).select("a", F.col("node").alias("b"))
-    stars = materialize(stars.unionByName(local.where("flag").select(F.col("hub").alias("a"), F.col("node").alias("b"))).distinct(), "stars")
-    links = materialize(verified(stars, sets_of(docs, known, stars, words), similarity), "links")
+    pair = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+    stars = shared.where(F.col("node") != F.col("a")).where(fits).select(*pair("a", "node"))
+    stars = materialize(stars.unionByName(local.where("flag").select(*pair("hub", "node"))).distinct(), "stars")
+    near = promising(stars, known, similarity)
+    links = materialize(verified(near, sets_of(docs, known, near, words), similarity), "links")
     edges = edges.unionByName(links)
     found = materialize(components(edges), "found")
     columns = ["key", "node", "n", "pos"]
-    members = shared.select(*columns).unionByName(local.select(*columns)).join(found, "node", "left")
+    members = shared.select(*columns).unionByName(local.select(*columns)).join(small(found), "node", "left")
     members = materialize(members.select(*columns, F.coalesce("root", "node").alias("root")), "members")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = cells(members, most).repartition(parts, "cell").sortWithinPartitions("cell", "n")
     rest = dealt.mapInArrow(tidied(_crossing(similarity)), "a long, b long").distinct().join(stars, ["a", "b"], "left_anti")
     rest = materialize(rest, "rest")
-    if rest.isEmpty():
+    near = promising(rest, known, similarity)
+    if near.isEmpty():
         return found
-    more = materialize(verified(rest, sets_of(docs, known, rest, words), similarity), "links")
+    more = materialize(verified(near, sets_of(docs, known, near, words), similarity), "links")
     return found if more.isEmpty() else components(edges.unionByName(more))
