@@ -129,7 +129,8 @@ def pack(
 
     One row per piece: ``id_col, start, length, ids_crc32, doc_tokens, sequence_id,
     offset, sequence_tokens, padded_tokens``.  A null or empty text is the end id
-    alone; repeated rows are packed once each; an empty table gives no rows.
+    alone; repeated rows are packed once each; an empty table gives no rows.  Other columns,
+    whatever their names, are not read.  Time is linear in a text's length.
     ``padded_tokens`` is ``size``, or the fill itself where that is a power of two.
     """
     cut = pieces(docs, tokenizer, size, end_id, id_col, text_col)

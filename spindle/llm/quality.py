@@ -226,7 +226,9 @@ def predictions(
     docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, threshold: float = 0.3, most: int = 700
 ) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every document.  Repeated rows give
-    repeated results; without usable labels all scores are the same."""
+    repeated results; without usable labels all scores are the same; an empty table gives no
+    rows.  A null text counts as empty.  Time is linear in a text's length.  Other columns,
+    ``score`` or ``held_out`` among them, are not read."""
     found = scored(docs.select("doc_id", "text"), fit(docs, labels, folds, held_out, most))
     fold = F.coalesce(in_fold("doc_id", folds, held_out), F.lit(False))
     return found.select("doc_id", fold.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

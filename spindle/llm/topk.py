@@ -138,7 +138,8 @@ def top_k(
     Vectors of different widths meet on their common components.  Rows of one id are
     one candidate each, and one query each of the same id is enough: of repeated query
     rows the first by its components is used; rows of the query's own id are no
-    candidates.  An empty table gives no rows."""
+    candidates.  An empty table gives no rows; other columns, whatever their names, are not
+    read.  A block holds ``BLOCK`` vectors whatever their width."""
     spark = vectors.sparkSession
     own = materialize(quantized(vectors, scale, id_col, vector_col), "vectors")
     seen = own.agg(F.max(F.size("v")).alias("width"), F.count("*").alias("n")).first()
