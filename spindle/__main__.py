@@ -50,7 +50,7 @@ def parser() -> argparse.ArgumentParser:
 
 def run(args: argparse.Namespace):
     from spindle.plans import describe, extend, match, runs
-    from spindle.plans.registry import Registry, constellation, markdown
+    from spindle.plans.registry import Registry, constellation, markdown, svg
     from spindle.plans.spec import load
     from spindle.sources import dictionary, staging
     from spindle.sources.warehouse import Warehouse
@@ -83,7 +83,7 @@ def run(args: argparse.Namespace):
         case "constellation":
             view = constellation(registry, args.highlight)
             if args.out:
-                Path(args.out).write_text(markdown(view), encoding="utf-8")
+                Path(args.out).write_text((svg if args.out.endswith(".svg") else markdown)(view), encoding="utf-8")
             return view
     spark = session()
     house = Warehouse(spark, args.warehouse) if hasattr(args, "warehouse") else None

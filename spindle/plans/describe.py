@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from spindle.operators import pages
 from spindle.operators.profile import profile
 from spindle.sources.dictionary import write_eda
+from spindle.sources.office import document_text
 from spindle.sources.staging import data_entries, entry_stem, read_entry
 
 #: Fields of a description (fixed values).
@@ -81,7 +82,8 @@ def describe(spark: SparkSession, inputs: str | Path, name: str, answers: dict[s
         out["dataset"]["files"].append({"file": Path(entry).name, "eda": eda.name})
     out["codes_and_vocabularies"] = [{"file": c, "entries": _entries(inside(folder, c))} for c in codes]
     for d in documents:
-        text = inside(folder, d).read_text(encoding="utf-8", errors="replace")
+        path = inside(folder, d)
+        text = document_text(path) if path.suffix.lower() == ".docx" else path.read_text(encoding="utf-8", errors="replace")
         df = spark.createDataFrame([(d, text)], "file string, text string")
         size = pages.document_summary(df, "file", "text").first()
         own: dict[str, Any] = {"file": d, "pages": size["pages"], "words": size["words"]}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pathlib import Path
+from xml.sax.saxutils import escape
 
 import yaml
 
@@ -115,3 +116,25 @@ def markdown(view: dict) -> str:
         columns = ", ".join(f"{mark(c)}{n}{mark(c)}" for n, c in t["columns"].items())
         lines.append(f"| {mark(t)}{t['name']}{mark(t)} | {t['kind']} | {', '.join(t['schemas'])} | {columns} |")
     return "\n".join(lines)
+
+
+def svg(view: dict, width: int = 900, row: int = 90) -> str:
+    """The picture as SVG: dimensions above, facts below, a line for each relationship."""
+    at: dict[str, tuple[float, float]] = {}
+    kinds = [[t for t in view["tables"] if (t["kind"] == "fact") == fact] for fact in (False, True)]
+    for y, own in enumerate(kinds):
+        for i, t in enumerate(own):
+            at[t["name"]] = ((i + 0.5) * width / len(own), row * (2 * y + 1))
+    parts = [f'<svg xmlns="http://www.w3.org/2000/svg" viewBox="0 0 {width} {4 * row}" font-family="sans-serif" font-size="12">']
+    for table, dimension, key in view["relationships"]:
+        (x1, y1), (x2, y2) = at[table], at[dimension]
+        parts.append(f'<line x1="{x1:g}" y1="{y1:g}" x2="{x2:g}" y2="{y2:g}" stroke="#888"><title>{escape(key)}</title></line>')
+    for t in view["tables"]:
+        x, y = at[t["name"]]
+        edge = "#b00" if t["highlighted"] else "#333"
+        fill = "#eef" if t["kind"] == "fact" else "#efe"
+        half = 4 * len(t["name"]) + 8
+        title = escape(", ".join(t["columns"]))
+        parts.append(f'<g><title>{title}</title><rect x="{x - half:g}" y="{y - 14:g}" width="{2 * half}" height="28" fill="{fill}" stroke="{edge}"/>')
+        parts.append(f'<text x="{x:g}" y="{y + 4:g}" text-anchor="middle">{escape(t["name"])}</text></g>')
+    return "\n".join([*parts, "</svg>"])

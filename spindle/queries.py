@@ -695,6 +695,14 @@ def s14_registry(spark, sf_dir):
     return loaded_sales(spark, sf_dir).read("dim_data_source").select("source_id", "schema_id", "is_synthetic", "row_count", "column_count")
 
 
+@registered("""
+SELECT segment, balance, _source_id FROM (SELECT c_mktsegment AS segment, c_acctbal AS balance, CASE WHEN c_custkey IN (SELECT o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+WHERE o_orderkey % 2 = 0) THEN 'even' ELSE 'odd' END AS _source_id, c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey))
+ORDER BY balance, segment LIMIT 20""")
+def t5_first_rows(spark, sf_dir):
+    return loaded_sales(spark, sf_dir).first_rows("dim_customer", 20, ["balance", "segment"]).select("segment", "balance", "_source_id")
+
+
 @registered(f"""
 WITH f AS (SELECT * FROM {_LOADED} WHERE source_id = 'odd'),
 n(rows, quantity, price, orders, customers) AS (SELECT COUNT(*), SUM(CAST(l_quantity AS DECIMAL(18,2))), SUM(CAST(l_extendedprice AS DECIMAL(18,2))), COUNT(DISTINCT o_orderkey),

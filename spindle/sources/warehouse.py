@@ -102,6 +102,11 @@ class Warehouse:
             out = out.unionByName(self.read(name).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows"))
         return out
 
+    def first_rows(self, name: str, n: int = 100, order: list[str] | None = None) -> DataFrame:
+        """The first ``n`` rows of a table in the order of the given columns, else of all."""
+        df = self.read(name)
+        return df.orderBy(*(order or df.columns)).limit(n)
+
     def query(self, sql: str) -> DataFrame:
         """SQL over the stored tables, under their names."""
         for name in self.names():

@@ -1,6 +1,7 @@
 """Specs, loads, checks, matching, extension and generation, on generated exports."""
 
 import csv
+from xml.etree import ElementTree
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from spindle.operators import checks, keys, merge, resolve, synthetic, vocabular
 from spindle.operators.graph import JoinGraph
 from spindle.operators.profile import profile
 from spindle.plans import extend, match, runs
-from spindle.plans.registry import Registry, constellation, markdown
+from spindle.plans.registry import Registry, constellation, markdown, svg
 from spindle.plans.spec import CrosswalkEntry, SpecError, parse
 from spindle.sources.dictionary import load_dictionary, load_eda, merge_sources, split_values, write_eda
 from spindle.sources.staging import entry_stem, split_entry, stage_csv
@@ -258,6 +259,8 @@ def test_match_extend_attach(tmp_path):
     registry.save(patched)
     view = constellation(registry, "round_1")
     assert view["spines"] == ["dim_visit"] and "**fact_viral**" in markdown(view)
+    drawn = ElementTree.fromstring(svg(view))
+    assert len(drawn.findall("{*}line")) == len(view["relationships"]) and len(drawn.findall("{*}g")) == len(view["tables"])
     other = spec(schema_id="other")
     other["tables"]["dim_visit"]["columns"]["visit_date"]["type"] = "TIMESTAMP"
     with pytest.raises(SpecError, match="type differs"):
