@@ -14,6 +14,7 @@ import hashlib
 import heapq
 import json
 import re
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -28,9 +29,14 @@ NONE = np.int64(1) << 40
 
 
 def room(words: list[str]) -> int:
-    """How many places words take in a cache: one for each 64 characters begun, so that a
-    cache is bounded in bytes too."""
-    return sum(1 + len(w) // 64 for w in words)
+    """How many places words take in a cache: one each and one for each 64 characters, so
+    that a cache is bounded in bytes too."""
+    return len(words) + sum(map(len, words)) // 64
+
+
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=1)
@@ -170,17 +176,17 @@ class ByteBPE:
         return proposed
 
     def _learn(self, tokens: list[str]) -> None:
-        """Adds the words of a batch to the cache; a full cache starts anew."""
-        cache = self.cache
-        new = [t for t in set(tokens) if t not in cache]
+        """Adds the words of a batch to the cache; a full cache keeps only those of the batch."""
+        cache, seen = self.cache, set(tokens)
+        new = [t for t in seen if t not in cache]
         self.held += room(new)
-        if self.held > self.cache_words and cache:
+        if self.held > self.cache_words:
+            kept = {t: cache[t] for t in seen if t in cache}
             cache.clear()
-            new = list(set(tokens))
-            self.held = room(new)
+            cache.update(kept)
+            self.held = room(list(seen))
         words = [t.encode("utf-8", "surrogatepass") for t in new]
-        for t, ids in zip(new, self.encode_words(words)):
-            cache[t] = np.array(ids, dtype="<u4").tobytes()
+        cache.update(zip(new, map(packed, self.encode_words(words))))
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each whole text as little-endian unsigned 32-bit integers."""
@@ -223,10 +229,10 @@ class LibraryBPE(ByteBPE):
 
     def __init__(self, raw: bytes, cache_words: int = 300_000):
         super().__init__(raw, cache_words)
-        self.piece = tiktoken.Encoding("words", pat_str=r".+", mergeable_ranks=self.id_of, special_tokens={})
+        self.piece = tiktoken.Encoding("words", pat_str=r".+", mergeable_ranks=self.id_of, special_tokens={})._core_bpe
 
     def encode_words(self, words: list[bytes]) -> list[list[int]]:
-        return list(map(self.piece._encode_single_piece, words))
+        return list(map(self.piece.encode_single_piece, words))
 
 
 @lru_cache(maxsize=4)

@@ -92,12 +92,12 @@ class UnigramTrie:
         return result
 
     def learn(self, tokens: list[str]) -> None:
-        new = [t for t in set(tokens) if t not in self.cache]
+        seen = set(tokens)
+        new = [t for t in seen if t not in self.cache]
         self.held += room(new)
-        if self.cache and self.held > self.cache_words:
-            self.cache.clear()
-            new = list(set(tokens))
-            self.held = room(new)
+        if self.held > self.cache_words:
+            self.cache = {t: self.cache[t] for t in seen if t in self.cache}
+            self.held = room(list(seen))
         self.cache.update(zip(new, self.count([t.encode("utf-8", "surrogatepass") for t in new]).tolist()))
 
 
