@@ -14,6 +14,7 @@ from spindle.operators import checks, cube, keys, merge, pages, profile, resolve
 from spindle.operators.graph import JoinGraph
 from spindle.plans import runs
 from spindle.plans.spec import SOURCE_ROW, CrosswalkEntry, parse
+from spindle.sources import staging
 from spindle.sources.storage import shared_dir
 from spindle.sources.warehouse import Warehouse
 
@@ -602,6 +603,60 @@ def s7_concept_pages(spark, sf_dir):
     return pages.concept_pages(table(spark, sf_dir, "documents"), "doc_id", "text", concepts=_CONCEPTS)
 
 
+# --- a source with faults, before any load ---------------------------------------------------
+
+_FAULTY = """(SELECT CASE WHEN o_orderkey % 97 <> 0 THEN CAST(o_orderkey AS VARCHAR) END AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
+CASE WHEN o_orderkey % 83 <> 0 THEN CAST(o_orderdate AS DATE) END AS order_day, CASE WHEN o_orderkey % 89 = 0 THEN 'X' ELSE o_orderstatus END AS status,
+CAST(l_linenumber AS BIGINT) AS line, l_partkey AS part, l_suppkey AS supplier, CASE WHEN l_orderkey % 103 = 0 THEN 1000 WHEN l_orderkey % 101 <> 0 THEN l_quantity END AS quantity,
+l_extendedprice AS price, l_returnflag AS returned, o_orderkey AS k FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey)"""
+
+
+def faulty(spark, sf_dir):
+    """Staged order lines with blank keys, texts for numbers and days, unknown codes, a value out
+    of range and a column that no table takes; and how they feed the schema ``SALES``."""
+    wide = sales_graph().joined(tables(spark, sf_dir, "lineitem", "orders", "customer"), "lineitem", "customer")
+    k = F.col("l_orderkey")
+    raw = wide.select(
+        F.when(k % 97 == 0, "  ").otherwise(k.cast("string")).alias("o_orderkey"), F.col("o_custkey").cast("string").alias("o_custkey"), "c_mktsegment",
+        F.col("c_acctbal").cast("string").alias("c_acctbal"), F.when(k % 83 == 0, "UNKNOWN").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("order_day"),
+        F.when(k % 89 == 0, "X").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"), "l_linenumber", "l_partkey", "l_suppkey",
+        F.when(k % 103 == 0, "1000").when(k % 101 == 0, "N/A").otherwise(F.col("l_quantity").cast("string")).alias("l_quantity"), "l_extendedprice", "l_returnflag",
+        F.lit("x").alias("surplus"),
+    )
+    staged = staging.stage_frame(raw)
+    return staged, resolve.resolve(parse(SALES), staged.columns)
+
+
+@registered(f"""
+WITH n AS (SELECT COUNT(*) FILTER (WHERE order_id IS NULL) AS blank, COUNT(*) FILTER (WHERE order_day IS NULL) AS days, COUNT(*) FILTER (WHERE status = 'X') AS codes,
+COUNT(*) FILTER (WHERE quantity IS NULL) AS texts, COUNT(*) FILTER (WHERE quantity > 100) AS far FROM {_FAULTY})
+SELECT "check", target, CAST(value AS DOUBLE) AS actual, passed FROM (
+SELECT 'variable_coverage' AS "check", 'source' AS target, 1 AS value, FALSE AS passed UNION ALL SELECT 'spine_key_present', 'dim_order.order_id', NULL, TRUE
+UNION ALL SELECT 'spine_key_nulls', 'dim_order.order_id', blank, blank = 0 FROM n UNION ALL SELECT 'cast_failures', 'dim_customer.balance', 0, TRUE
+UNION ALL SELECT 'cast_failures', 'dim_order.order_day', days, days = 0 FROM n UNION ALL SELECT 'required_nulls', 'dim_order.order_day', days, days = 0 FROM n
+UNION ALL SELECT 'allowed_values', 'dim_order.status', codes, codes = 0 FROM n UNION ALL SELECT 'derived_completeness', 'dim_order.order_year', days, days = 0 FROM n
+UNION ALL SELECT 'cast_failures', 'fact_lines.line', 0, TRUE UNION ALL SELECT 'cast_failures', 'fact_lines.part', 0, TRUE UNION ALL SELECT 'cast_failures', 'fact_lines.supplier', 0, TRUE
+UNION ALL SELECT 'cast_failures', 'fact_lines.quantity', texts, texts = 0 FROM n UNION ALL SELECT 'value_range', 'fact_lines.quantity', far, far = 0 FROM n
+UNION ALL SELECT 'cast_failures', 'fact_lines.price', 0, TRUE UNION ALL SELECT 'allowed_values', 'fact_lines.returned', 0, TRUE
+UNION ALL SELECT 'entity_consistency', 'dim_customer', 0, TRUE UNION ALL SELECT 'entity_consistency', 'dim_order', 0, TRUE)""")
+def c1_c12_preflight(spark, sf_dir):
+    out = checks.as_frame(spark, checks.preflight(*faulty(spark, sf_dir)))
+    return out.select("check", "target", F.col("actual").cast("double").alias("actual"), "passed")
+
+
+@registered(f"""SELECT order_id, line, part, supplier, CAST(quantity AS DOUBLE) AS quantity, price, returned FROM {_FAULTY} WHERE order_id IS NOT NULL
+AND COALESCE(CAST(line AS VARCHAR), CAST(part AS VARCHAR), CAST(supplier AS VARCHAR), CAST(quantity AS VARCHAR), CAST(price AS VARCHAR), returned) IS NOT NULL""")
+def p11_fact_rows(spark, sf_dir):
+    staged, res = faulty(spark, sf_dir)
+    return resolve.fact_rows(staged, res, res.schema.tables["fact_lines"]).drop(SOURCE_ROW)
+
+
+@registered(f"SELECT DISTINCT order_id, customer_id, order_day, status, CAST(year(order_day) AS BIGINT) AS order_year FROM {_FAULTY} WHERE order_id IS NOT NULL")
+def p5_first_rows(spark, sf_dir):
+    staged, res = faulty(spark, sf_dir)
+    return merge.first_values(resolve.typed(staged, res, res.schema.tables["dim_order"]), "order_id")
+
+
 # --- a loaded warehouse -------------------------------------------------------------------
 
 #: The order lines as a constellation: orders are the spine.
