@@ -410,6 +410,21 @@ def test_toxicity_learns_words_not_groups():
     assert toxicity.train(sample).weights == fair.weights
 
 
+def test_penalty_lowers_scores_of_neutral_mentions():
+    """Toxic words are rare, and four toxic texts in five name a group; one clean text in twenty does."""
+    rng, names = random.Random(9), ("women", "muslims", "gay", "immigrants")
+    bad = ["".join(rng.choice("bcdfghklmnprstvz") for _ in range(7)) for _ in range(150)]
+    sample = []
+    for t, y in sentences(900, 1, ("*",)):
+        t = re.sub(r"( ?\*)+", f" {rng.choice(bad)}", t)
+        sample.append((t + f" {rng.choice(names)}." if rng.random() < (0.8 if y else 0.05) else t, y))
+    neutral = [f"{t} {rng.choice(names)} sang." for t, _ in sentences(200, 5)]
+    scores = {c: np.array([m.score(t) for t in neutral]) for c in (0.0, 1.0) for m in [toxicity.train(sample, counterfactual=c)]}
+    assert (scores[0.0] >= 0.5).mean() > 0.9 and (scores[1.0] >= 0.5).mean() < 0.4
+    swaps = toxicity.counterfactuals(["Women sang.", "A stone. The tree."])
+    assert dict((tuple(sorted(b.items())), w) for b, w in swaps)[(("men", -1.0), ("women", 1.0))] == 0.5 and abs(sum(w for _, w in swaps) - 1) < 1e-9
+
+
 def test_quality_learns_patterns():
     clean = [(t, 1) for t, _ in sentences(120, 3)]
     junk = [(" ".join(w + "%%%" for w in t.split()), 0) for t, _ in sentences(60, 4)] + [(" ".join(w + " " + w for w in t.split()), 0) for t, _ in sentences(60, 5)]
