@@ -26,11 +26,17 @@ def numbered(df: DataFrame, order: list[str], name: str = "n", start: int = 0) -
     task gets all rows, and a lost executor cannot move a number."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    return _shifted(materialize(placed.withColumn("_at", F.monotonically_increasing_id()), "numbered"), name, start)
+    return without_gaps(materialize(placed_rows(placed), "numbered"), name, start)
 
 
-def _shifted(placed: DataFrame, name: str, start: int) -> DataFrame:
-    """``_at``, a partition number above 33 bits of a place in it, as a number without gaps."""
+def placed_rows(df: DataFrame) -> DataFrame:
+    """Adds ``_at``: the number of a row's partition above 33 bits of its place in it."""
+    return df.withColumn("_at", F.monotonically_increasing_id())
+
+
+def without_gaps(placed: DataFrame, name: str, start: int = 0) -> DataFrame:
+    """``_at`` of a written table as a number from ``start`` + 1 without gaps.  The sizes of the
+    partitions, one row each, are counted from that column alone and broadcast."""
     part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
@@ -42,7 +48,7 @@ def _shifted(placed: DataFrame, name: str, start: int) -> DataFrame:
 def numbered_as_read(df: DataFrame, name: str, start: int = 0) -> DataFrame:
     """Adds a number from ``start`` + 1 without gaps, in the order of the input's partitions
     and rows, without a sort."""
-    return _shifted(materialize(df.withColumn("_at", F.monotonically_increasing_id()), "read"), name, start)
+    return without_gaps(materialize(placed_rows(df), "read"), name, start)
 
 
 def empty_keymap(spark: SparkSession) -> DataFrame:

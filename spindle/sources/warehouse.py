@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spindle.operators import checks
-from spindle.operators.keys import empty_keymap, new_keys, with_surrogate
+from spindle.operators.keys import empty_keymap, new_keys, placed_rows, with_surrogate, without_gaps
 from spindle.operators.merge import first_values, fold_facts, merge_dimension
 from spindle.operators.resolve import Resolution, fact_rows, resolve, typed
 from spindle.plans.spec import SOURCE_ID, SOURCE_ROW, Schema, Table, source_id_of, spark_field
-from spindle.sources.staging import stage_csv
+from spindle.sources.staging import read_text
 from spindle.sources.storage import Store
 
 SOURCES = (
@@ -118,6 +118,10 @@ class Warehouse:
     def keymap(self) -> DataFrame:
         return self.read("key_map", private=True) if self.exists("key_map", True) else empty_keymap(self.spark)
 
+    def staged(self, source: str) -> DataFrame:
+        """The raw rows of a source with their numbers; written once, numbered as they are read."""
+        return without_gaps(self.read(f"stg_{source}", private=True), SOURCE_ROW)
+
     def _stored_type_check(self, schema: Schema) -> None:
         """Refuses a schema whose column types differ from the stored ones."""
         for t in schema.tables.values():
@@ -139,8 +143,8 @@ class Warehouse:
         Failed error checks before the load refuse it unless ``force``.  ``multi_line``: whether
         cells may hold line ends (then one task reads each file)."""
         source = source_id_of(source_name or PurePosixPath(path).stem)
-        self.write(f"stg_{source}", stage_csv(self.spark, path, multi_line), private=True)
-        staged = self.read(f"stg_{source}", private=True).persist()
+        self.write(f"stg_{source}", placed_rows(read_text(self.spark, path, multi_line)), private=True)
+        staged = self.staged(source).persist()
         try:
             return self._load(schema, staged, source, source_name or PurePosixPath(path).stem, path, synthetic, force, compat)
         finally:
@@ -227,7 +231,7 @@ class Warehouse:
     def check(self, schema: Schema, source_name: str, compat: bool = False) -> dict[str, Any]:
         """All checks again for a loaded source."""
         source = source_id_of(source_name)
-        staged = self.read(f"stg_{source}", private=True)
+        staged = self.staged(source)
         res = resolve(schema, staged.columns, compat)
         results = checks.preflight(staged, res, self.keymap(), source) + self._postload(schema, staged, res, source)
         return checks.summarize(results) | {"source_id": source, "schema_id": schema.schema_id}
