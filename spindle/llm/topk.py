@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spindle.llm._common import materialize, tidied
+from spindle.operators.keys import numbered
 
 BLOCK, HEAD, QUERIES, LEAD = 16_384, 2_048, 2_048, 16
 EXACT = float(1 << 52)
@@ -129,6 +130,12 @@ def best(found: DataFrame, k: int, split: int) -> DataFrame:
     return ranked(found, "query_id").select("query_id", "vec_id", "score", "rank")
 
 
+def in_blocks(df: DataFrame, name: str, size: int) -> DataFrame:
+    """``df`` in order of ``down`` and ``id`` in blocks of ``size`` rows, numbered from 0; their
+    number does not depend on that of the partitions."""
+    return numbered(df, ["down", "id"], "n").withColumn(name, F.floor((F.col("n") - 1) / F.lit(size))).drop("n", "down")
+
+
 def top_k(
     vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
@@ -145,7 +152,7 @@ def top_k(
     seen = own.agg(F.max(F.size("v")).alias("width"), F.count("*").alias("n")).first()
     if not seen["n"]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    width, n = seen["width"], seen["n"]
+    width = seen["width"]
     rotation = spark.sparkContext.broadcast(axes(own, width))
     by_length = own.orderBy(F.desc("norm"), "id", "v").limit(HEAD)
     head = by_length.collect()  # at most HEAD rows
@@ -172,14 +179,11 @@ def top_k(
             yield pa.record_batch([*batch.columns, pa.array(floor)], names=[*batch.schema.names, "floor"])
 
     ready = queries.select("id", "v", "norm").mapInArrow(tidied(thresholds), "id long, v array<long>, norm double, floor long")
-    parts = max(1, -(-n // (every * QUERIES)))
     need = F.col("floor") / F.greatest("norm", F.lit(1e-300))  # the length that a candidate must have
-    dealt = materialize(ready, "queries").repartitionByRange(parts, need.desc(), "id")
-    waiting = materialize(dealt.withColumn("part", F.spark_partition_id()), "parts")
+    waiting = materialize(in_blocks(materialize(ready, "queries").withColumn("down", -need), "part", QUERIES), "parts")
 
     # Blocks of candidates by descending length, and the longest vector of each.
-    count = max(1, -(-n // BLOCK))
-    cut = materialize(own.repartitionByRange(count, F.desc("norm"), "id").withColumn("block", F.spark_partition_id()), "blocks")
+    cut = materialize(in_blocks(own.withColumn("down", -F.col("norm")), "block", BLOCK), "blocks")
     limits = materialize(cut.groupBy("block").agg(F.max("norm").alias("most")), "limits")
     blocks = limits.agg(F.max("block").alias("b")).first()["b"] + 1
     reaches = F.expr("norm * most * (1 + 1e-9) + 1e-9 >= floor")
@@ -198,7 +202,7 @@ def top_k(
     while begin < blocks:
         end = min(blocks, max(1, 2 * begin))
         here = limits.where(F.col("block").between(begin, end - 1))
-        going = waiting.withColumn("block", F.explode(F.sequence(F.lit(begin), F.lit(end - 1)))).join(here, "block").where(reaches)
+        going = waiting.withColumn("block", F.explode(F.sequence(F.lit(begin).cast("long"), F.lit(end - 1).cast("long")))).join(here, "block").where(reaches)
         going = materialize(going.select("block", "part", "id", "v", "floor"), "going")
         pairs = going.select(F.col("block").alias("at"), F.col("part").alias("to")).distinct()
         meeting = cut.where(F.col("block").between(begin, end - 1)).join(pairs, F.col("block") == F.col("at")).select("block", F.col("to").alias("part"), "id", "v")

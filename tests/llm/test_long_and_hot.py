@@ -66,9 +66,9 @@ def test_other_operators_on_long_texts(spark, long_docs, long_text):
     assert r["n_blocks"] == -(-len(p) // flac.BLOCK) and r["last_offset"] == (r["n_blocks"] - 1) * flac.BLOCK
     hidden = one(pii.pseudonymized(long_docs, b"k", counts=True))
     assert hidden["n_email"] == 1 and "ann@x.org" not in hidden["text"] and hidden["text"][:1000] == long_text[:1000]
-    labels = spark.createDataFrame([(1, 1, 1), (2, 0, 0)], "doc_id long, quality int, toxic int")
-    for module in (toxicity, quality):
-        assert all(0 <= x["score"] <= 1 for x in module.predictions(long_docs, labels).collect())
+    net = quality.train([(long_text, 1), ("short", 0)], steps=2)
+    for module, model in ((toxicity, toxicity.train([(long_text, 1), ("short", 0)])), (quality, net)):
+        assert all(0 <= x["score"] <= 1 for x in module.scored(long_docs, model).collect())
     model = toxicity.ToxicityModel({"^zz$": 9.0}, -5.0)
     assert model.score(long_text) > 0.9 and toxicity.kept(long_docs, model, 0.7).count() == 2  # the last word counts
 
