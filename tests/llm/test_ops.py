@@ -66,6 +66,21 @@ def test_encoding_follows_the_library(kind):
         assert own.decode(ids) == HF.decode(ids, skip_special_tokens=False)
 
 
+def test_library_cuts_latin_1_alike():
+    own, plain = bpe.LibraryBPE(RAW), bpe.ByteBPE(RAW)
+    signs = [chr(c) for c in range(256)]
+    texts = [f"{a}{c}{b}" for c in signs for a in ("", "a", "1", " ", "!", "\n", "a'") for b in ("", "b", "2", " x", "s", "\n\n")]
+    texts += noise(3000, 30, seed=8, letters="".join(signs))
+    for s in range(0, len(texts), 1000):
+        assert own.encode_batch(texts[s : s + 1000]) == plain.encode_batch(texts[s : s + 1000])
+    for t in ("a", " ", "\n", "1", "!", "a ", " \n"):
+        for end in ("", "x"):
+            long = t * (own.LONGEST // len(t) - 1) + end
+            assert own.encode_batch([long]) == plain.encode_batch([long])
+    mixed = ["é", "三", "a" * (own.LONGEST + 1), "<|endoftext|>", "", "œ x"]
+    assert own.encode_batch(mixed) == plain.encode_batch(mixed)
+
+
 def test_compatibility_is_exact():
     own = bpe.loaded(RAW)
     rng = np.random.default_rng(2)
