@@ -67,6 +67,19 @@ def read_bytes(spark: SparkSession, path: str) -> bytes:
     return bytes(spark.read.format("binaryFile").load(path).first()["content"])
 
 
+#: Bytes of a batch that is passed to or from Python workers, about (one row may be longer).
+BATCH = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches to ``BATCH`` bytes, if they may be larger: the JVM and
+    the worker of each running task hold some of them at one time."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = (spark.conf.get(name, None) or "").rstrip("b")
+    if not (now.isdigit() and int(now) <= BATCH):
+        spark.conf.set(name, str(BATCH))
+
+
 #: Characters of texts that are Python strings at one time, about (one text may be longer).
 SLICE = 400_000
 #: Rows of one or two numbers that are broadcast at most, 16 MB; larger tables are shuffled.

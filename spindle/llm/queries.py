@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindle.llm import bpe, licenses, media, packing, pii, quality, simhash, token_counts, topk, toxicity
-from spindle.llm._common import importable
+from spindle.llm._common import importable, small_batches
 
 #: Stands for a key that a deployment keeps secret.
 PSEUDONYM_KEY = b"example key, to be replaced"
@@ -18,6 +18,7 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     importable(spark)
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -36,7 +36,7 @@ from spindle.llm.components import components
 BUCKETS, CHUNKS = 1 << 18, 64  # of the table of frequencies
 CELLS = 256  # of a signature
 MOST = 20_000  # rows of a key that one task compares, about
-KEYS = 1_000_000  # keys that a task holds
+KEYS = 300_000  # keys that a task holds
 PIECE = 1 << 18  # bytes of a text that are split into words at one time
 BLANK = re.compile(rb"[\x20\x09-\x0d]")
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
