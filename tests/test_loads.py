@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spindle.functions.types import BLANKS, safe_cast
-from spindle.operators import checks
+from spindle.operators import checks, resolve
 from spindle.sources.warehouse import Warehouse
 from tests.test_constellation import export, failed, schema
 
@@ -54,3 +54,23 @@ def test_casts_without_regular_expressions_give_the_same(spark):
     assert day == ("2024-01-02", "2024-01-02", *[None] * 15)
     assert real == (*[None] * 6, "1.5", None, None, "-Infinity", "1000.0", "NaN", *[None] * 3, "1.0", None)
     assert text == tuple(None if x is None else x.strip(BLANKS) or None for x in texts)
+
+
+def test_first_values_and_keys_are_made_once(spark, tmp_path, monkeypatch):
+    """A load folds a dimension's keys once, and only those that occur in several rows; a source
+    without new keys leaves the key map as it is."""
+    house, folded, plain = Warehouse(spark, tmp_path / "h"), [], checks.first_values
+    monkeypatch.setattr(checks, "first_values", lambda df, key, *a, **k: folded.append(key) or plain(df, key, *a, **k))
+    house.load(schema(), export(tmp_path / "a.csv"), "a")
+    assert len(folded) == len(set(folded))
+    assert house._commits("key_map", True) == ["000000001.json"]
+    house.load(schema(), str(tmp_path / "a.csv"), "a")
+    assert house._commits("key_map", True) == ["000000001.json"]
+
+
+def test_blanks_are_stripped_once_from_each_raw_column(spark):
+    staged = spark.createDataFrame([("  1 ", " 2.5", "　", "2024-01-02 ")], "encounter string, amount string, ward string, birth_date string")
+    rows, own = resolve.parsed(staged.withColumn("_source_row", F.lit(1)), resolve.resolve(schema(), staged.columns))
+    assert sorted(own.stripped) == sorted(staged.columns)  # one column of stripped text for each raw one
+    got = rows.select(*[own.of(c).alias(c.name) for c in own.schema.all_columns() if own.has(c) and not c.crosswalk]).first().asDict()
+    assert (got["visit_id"], got["amount"], got["ward"], got["birth_year"]) == ("1", 2.5, None, 2024)
