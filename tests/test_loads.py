@@ -1,12 +1,16 @@
 """What a load reads and compares."""
 
+import threading
+
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from spindle.functions.types import BLANKS, safe_cast
 from spindle.operators import checks, resolve
+from spindle.sources.staging import stage_csv
 from spindle.sources.warehouse import Warehouse
-from tests.test_constellation import export, failed, schema
+from tests.test_constellation import ROWS, export, failed, schema
 
 
 @pytest.mark.parametrize("again", [False, True])
@@ -74,3 +78,51 @@ def test_blanks_are_stripped_once_from_each_raw_column(spark):
     assert sorted(own.stripped) == sorted(staged.columns)  # one column of stripped text for each raw one
     got = rows.select(*[own.of(c).alias(c.name) for c in own.schema.all_columns() if own.has(c) and not c.crosswalk]).first().asDict()
     assert (got["visit_id"], got["amount"], got["ward"], got["birth_year"]) == ("1", 2.5, None, 2024)
+
+
+@pytest.mark.parametrize("at, value", [(None, None), ((0, 8), "abc"), ((2, 4), " "), ((0, 5), "Roof"), ((1, 3), "1990-99-01")])
+def test_a_parsed_source_holds_values_alone_and_counts_the_same(spark, tmp_path, at, value):
+    """Text is looked at again only for columns that hold nulls."""
+    rows = [list(r) for r in ROWS]
+    if at:
+        rows[at[0]][at[1]] = value
+    staged = stage_csv(spark, export(tmp_path / "a.csv", rows))
+    res = resolve.resolve(schema(), staged.columns)
+
+    def put(df, name):
+        df.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{tmp_path}/{name}")
+
+    once = checks.Parsed.of(staged, res, put)
+    assert sorted(once.rows.columns) == sorted(["_source_row", *(once.rows.select(c).columns[0] for c in once.res.exprs.values())])
+    assert checks.preflight(staged, res, None, "a", once) == checks.preflight(staged, res, None, "a")
+
+
+def test_sums_are_exact(spark):
+    values = [0.1, 0.2, -0.07, 123456.78, 1e14 + 0.25, 0.1234565, -2.5e12, None, 9999999999.99]
+    df = spark.createDataFrame([(v, w) for v in values for w in (0, 1, 3)], "m double, w long")
+    parts = df.agg(*[s.alias(f"p{i}") for i, s in enumerate(checks._exact_sum(F.col("m"), F.col("w")))]).first()
+    assert checks._sum_of(list(parts)) == df.agg(F.sum(F.col("m").cast("decimal(38,6)") * F.col("w")).alias("s")).first()["s"]
+    assert checks._sum_of([None, None, None]) is None
+
+
+def test_tables_are_compared_side_by_side(spark, tmp_path, monkeypatch):
+    house, both, plain = Warehouse(spark, tmp_path / "h"), threading.Barrier(2, timeout=60), checks._dimension_parity
+
+    def waiting(rows, res, t, *rest):
+        if t.name in ("dim_person", "dim_visit"):
+            both.wait()  # one after the other never gets past this
+        return plain(rows, res, t, *rest)
+
+    monkeypatch.setattr(checks, "_dimension_parity", waiting)
+    assert house.load(schema(), export(tmp_path / "a.csv"), "a")["ok"]
+
+
+def test_stored_facts_try_no_dictionary_for_distinct_columns(spark, tmp_path):
+    house = Warehouse(spark, tmp_path / "h")
+    house.load(schema(), export(tmp_path / "a.csv"), "a")
+    house.load(schema(), str(tmp_path / "a.csv"), "a")
+    for file in (tmp_path / "h" / "tables" / "fact_results").rglob("*.parquet"):
+        groups = pq.ParquetFile(file).metadata
+        found = [groups.row_group(g).column(c) for g in range(groups.num_row_groups) for c in range(groups.num_columns)]
+        assert not [c for c in found if c.path_in_schema in ("visit_id", "_source_row") and c.has_dictionary_page]
